@@ -17,6 +17,7 @@ from foliospark.settings import (
     DEFAULT_READING_DAYS, DEFAULT_RECENCY_DAYS, GREAT_QUANTILE, INTERACTION_WEIGHTS, NOT_MODEL_INPUT,
     SCORING_DEFAULTS, SCORING_READING_DAYS, USER_FEATURES,
 )
+from foliospark.sources.tables import stage
 
 
 def with_times(interactions: DataFrame, iso_dates: bool = True) -> DataFrame:
@@ -133,10 +134,12 @@ def build_features(cleaned_books: DataFrame, cleaned_interactions: DataFrame, as
                    iso_dates: bool = True) -> DataFrame:
     """The full 37-column feature table.
 
-    The row filters on books and users run before the joins, so they shrink both sides of the shuffles.
+    The inputs should be stored tables: the interactions are read three times, each time for a few columns. The row
+    filters on books and users run before the joins, so they shrink both sides of the shuffles.
     """
     timed = with_times(cleaned_interactions, iso_dates)
-    books = final_books(base_books(cleaned_books, book_reading_times(timed), as_of), exact)
+    base = stage(base_books(cleaned_books, book_reading_times(timed), as_of), "base_books")
+    books = final_books(base, exact)
     merged = merge_features(interaction_features(timed, as_of), user_features(timed, as_of), books)
     return merged.where(eligible(as_of))
 

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The JSON log record that services write.
-RECORD = T.StructType.fromDDL("timestamp string, level string, logger string, message string, module string, "
-                              "`function` string, line bigint, exception string")
+RECORD = ("timestamp string, level string, logger string, message string, module string, "
+          "`function` string, line bigint, exception string")
 _TIME = r"\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:[.,]\d+)?(?:Z|[+-]\d{2}:?\d{2})?"
 _LEVEL = r"[A-Z]+"
 _TASK_LINE = rf"^\[({_TIME})\] \{{([^:}}]*):([^}}]*)\}} ({_LEVEL}) - (.*)$"

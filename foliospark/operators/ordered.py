@@ -16,7 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliospark.sources.tables import stage
+
 SPLITS = 256
+SMALL = 5000  # up to this many rows in all, one window is cheaper than the parts
 _CHUNK = 16
 
 
@@ -59,12 +62,18 @@ def running_totals(rows: DataFrame, keys: Sequence[str], value: str, weights: Se
     ``rows`` must hold each (key, value) once, with a non-NULL orderable value.
     """
     keys = list(keys)
+    rows = stage(rows, "ordered")  # read up to four times below
+    over_key = Window.partitionBy(*keys)
+    if rows.limit(SMALL + 1).count() <= SMALL:
+        ahead = over_key.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumns({
+            **{f"{w}_before": F.coalesce(F.sum(w).over(ahead), F.lit(0)) for w in weights},
+            **{f"{w}_total": F.sum(w).over(over_key) for w in weights}})
     placed = null_safe_join(rows, _split_points(rows, keys, value, splits), keys)
     placed = placed.withColumn("_part", _part_of(F.col(value))).drop("_chunks", "_heads")
 
     # At most `splits + 1` rows per key, so these windows stay small however large the key is.
     parts = placed.groupBy(*keys, "_part").agg(*[F.sum(w).alias(f"_sum_{w}") for w in weights])
-    over_key = Window.partitionBy(*keys)
     earlier = over_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select(
         *keys, "_part",

@@ -12,6 +12,7 @@ from foliospark.functions.dates import activity_time, long_date
 from foliospark.functions.text import json_field
 from foliospark.operators.ordered import first_unseen, latest_by, positions, top_per_key
 from foliospark.settings import UNKNOWN
+from foliospark.sources.tables import stage
 
 NO_AUTHOR = "Unknown Author"
 
@@ -73,7 +74,7 @@ def requested_pairs(requested: DataFrame, items: DataFrame, read: DataFrame, max
 
 def ordered_items(items: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Items numbered along one shared order (unique per item)."""
-    return positions(items, [], order)
+    return stage(positions(items, [], order), "ordered_items")
 
 
 def unread_in_order(users: DataFrame, read: DataFrame, items: DataFrame, order: Sequence[Column], k: int = 50) -> DataFrame:

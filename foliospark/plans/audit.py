@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.labels import audit_slices, dimension_rank
 from foliospark.operators import bias, mitigation, scoring, selection
+from foliospark.sources.tables import stage
 
 TECHNIQUES = ("prediction_shrinkage", "threshold_adjustment", "shrinkage", "reweighting")
 
@@ -24,7 +25,7 @@ class Detection(NamedTuple):
 
 def detect(predictions: DataFrame) -> Detection:
     """Slice metrics and everything derived from them."""
-    metrics = bias.slice_metrics(predictions)
+    metrics = stage(bias.slice_metrics(predictions), "slice_metrics")
     summary = bias.disparities(metrics)
     flags, risks = bias.flagged(summary), bias.high_risk(metrics)
     return Detection(metrics, summary, flags, risks, bias.recommendations(summary, flags, risks))

@@ -1,4 +1,7 @@
-"""The derived tables of the batch data flow, each a lazy plan over the raw inputs."""
+"""The derived tables of the batch data flow.
+
+Cleaned tables, features and predictions are stored when first asked for, since several later steps read each of them.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.operators import cleaning, features, quality, recommend, scoring
+from foliospark.sources.tables import stage
 
 
 @dataclass(frozen=True)
@@ -24,22 +28,22 @@ class Inputs:
 
 
 class Derived:
-    """Cleaned tables, features, splits and predictions; nothing runs until a result is asked for."""
+    """Cleaned tables, features, splits and predictions; nothing runs until one is asked for."""
 
     def __init__(self, inputs: Inputs):
         self.raw = inputs
 
     @cached_property
     def books(self) -> DataFrame:
-        return cleaning.clean_books(self.raw.books)
+        return stage(cleaning.clean_books(self.raw.books), "books")
 
     @cached_property
     def interactions(self) -> DataFrame:
-        return cleaning.of_known_books(cleaning.clean_interactions(self.raw.interactions), self.books)
+        return stage(cleaning.of_known_books(cleaning.clean_interactions(self.raw.interactions), self.books), "interactions")
 
     @cached_property
     def features(self) -> DataFrame:
-        return features.build_features(self.books, self.interactions, self.raw.as_of)
+        return stage(features.build_features(self.books, self.interactions, self.raw.as_of), "features")
 
     @cached_property
     def normalised(self) -> DataFrame:
@@ -51,7 +55,7 @@ class Derived:
 
     @cached_property
     def gender_map(self) -> DataFrame:
-        return recommend.author_gender_map(self.raw.authors, self.raw.name_genders)
+        return stage(recommend.author_gender_map(self.raw.authors, self.raw.name_genders), "gender_map")
 
     @cached_property
     def rated(self) -> DataFrame:
@@ -64,13 +68,13 @@ class Derived:
     @cached_property
     def predictions(self) -> DataFrame:
         """Scored rated rows with the slicing columns."""
-        return scoring.prediction_table(scoring.score(self.rated, self.mean_model), self.books, self.gender_map)
+        return stage(scoring.prediction_table(scoring.score(self.rated, self.mean_model), self.books, self.gender_map), "predictions")
 
     @cached_property
     def candidates(self) -> DataFrame:
         """Predictions of three scorers, told apart by ``model_name``: global mean, book mean, mean deviations."""
         model = self.mean_model
-        base = scoring.prediction_table(scoring.score(self.rated, model), self.books, self.gender_map)
+        base = self.predictions
         means = base.join(model.books, "book_id", "left").crossJoin(F.broadcast(model.overall))
         entries = F.array(*[F.struct(F.lit(n).alias("model_name"), c.alias("_p")) for n, c in (
             ("global_mean", F.col("mu")), ("book_mean", F.col("book_mean")), ("mean_deviation", F.col("predicted_rating")))])

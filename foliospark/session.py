@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Small inputs still spread over the cores; large ones are split by the advisory size anyway.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot book or user keeps its skew split even when a later step needs another shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -33,6 +35,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     spark = prepare(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -13,6 +13,12 @@ AS_OF = dt.date(2002, 1, 1)
 EVENTS_AS_OF = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out over the cores when the files give fewer splits than there are cores; otherwise leave them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     zoneless = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
@@ -59,6 +65,7 @@ def name_genders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_returnflag", "l_linestatus")
+    lines = spread(lines)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     shipped, ordered = activity_text(F.col("l_shipdate")), activity_text(F.col("o_orderdate"))
     line = F.col("l_linenumber")
@@ -154,3 +161,43 @@ def frontend_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.lit(None).cast("double").alias("ttfb")).alias("webVitals"),
         ).alias("metrics")))
     return table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("received_at"), payload.alias("payload"))
+
+
+def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly metric rows per event type, in the layout of the metric history."""
+    value = F.col("value")
+    hourly = table(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts").alias("timestamp"), F.col("event_type").alias("model_name")).agg(
+        F.avg(value).alias("mae"), F.sqrt(F.avg(value * value)).alias("rmse"), F.avg(F.when(value < 30, 1.0).otherwise(0.0)).alias("r_squared"),
+        F.count(F.lit(1)).alias("predictions_count"))
+    return hourly.unpivot(["timestamp", "model_name", "predictions_count"], ["mae", "rmse", "r_squared"], "metric_name", "metric_value").select(
+        "timestamp", "model_name", F.lit("v1").alias("model_version"), "metric_name", "metric_value", "predictions_count",
+        F.lit("test").alias("evaluation_dataset"))
+
+
+def drift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly rows in the layout of the drift history."""
+    v = F.col("metric_value")
+    return metric_history(spark, sf_dir).where(F.col("metric_name") == "mae").select(
+        "timestamp", F.col("model_name").alias("feature_name"), v.alias("baseline_mean"), (v / 2).alias("baseline_std"), (v + 1).alias("current_mean"),
+        (v / 3).alias("current_std"), F.lit(0.1).alias("ks_statistic"), F.lit(0.2).alias("ks_pvalue"), (v / 100).alias("psi_score"), (v > 20).alias("drift_detected"))
+
+
+def model_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_type AS prefix", "concat(p_type, '_', p_partkey) AS model_name",
+        "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(p_partkey % 1000 AS int), 0) AS created",
+        "p_brand AS display_name", "p_partkey AS version", "p_partkey % 10 = 3 AS is_default")
+
+
+def version_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").where("p_partkey % 3 <> 0").selectExpr(
+        "CASE WHEN p_partkey % 50 = 7 THEN concat('lost ', p_brand) ELSE p_brand END AS display_name", "p_partkey AS version",
+        "p_size / 10.0D AS mae", "CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE p_retailprice / 1000.0D END AS rmse",
+        "(p_partkey % 7) / 10.0D AS r_squared")
+
+
+def order_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders before and from 1998 on: the two sides of a drift check."""
+    orders = table(spark, sf_dir, "orders").select("o_totalprice", "o_custkey", "o_orderdate")
+    cut = F.lit(dt.datetime(1998, 1, 1, tzinfo=dt.timezone.utc))
+    return orders.where(F.col("o_orderdate") < cut), orders.where(F.col("o_orderdate") >= cut)

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_CATALOGUE = T.StructType.fromDDL(
-    "book_id string, book_title string, title_clean string, title string, author_name string, authors_flat string, "
-    "average_rating string, isbn string, isbn_clean string")
+_CATALOGUE = ("book_id string, book_title string, title_clean string, title string, author_name string, authors_flat string, "
+              "average_rating string, isbn string, isbn_clean string")
 
 
 def _first_filled(*columns: str, default: str) -> Column:
@@ -34,7 +32,7 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_report(report: DataFrame, path: str) -> None:

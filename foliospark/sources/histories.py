@@ -4,32 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foliospark.sources import tables
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-EVENTS = _struct("event_id string not null, user_id string not null, book_id bigint not null, book_title string, "
+EVENTS = ("event_id string not null, user_id string not null, book_id bigint not null, book_title string, "
                  "event_type string not null, event_timestamp timestamp not null")
-METRICS = _struct("timestamp timestamp, model_name string, model_version string, metric_name string, "
+METRICS = ("timestamp timestamp, model_name string, model_version string, metric_name string, "
                   "metric_value double, predictions_count bigint, evaluation_dataset string")
-DRIFT = _struct("timestamp timestamp, feature_name string, baseline_mean double, baseline_std double, "
+DRIFT = ("timestamp timestamp, feature_name string, baseline_mean double, baseline_std double, "
                 "current_mean double, current_std double, ks_statistic double, ks_pvalue double, "
                 "psi_score double, drift_detected boolean")
 
 
-def _with_date(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("date", T.DateType())])
-
-
 def set_up(spark: SparkSession, root: str) -> DataFrame:
     """Create the event table and both histories, each partitioned by day, when they are missing."""
     wanted = {"user_events": EVENTS, "model_metrics_history": METRICS, "data_drift_history": DRIFT}
-    rows = [(name, tables.create_if_missing(spark, f"{root}/{name}", _with_date(schema), ["date"]))
+    rows = [(name, tables.create_if_missing(spark, f"{root}/{name}", f"{schema}, date date", ["date"]))
             for name, schema in wanted.items()]
     return spark.createDataFrame(rows, "table_name string, created boolean")
 

@@ -6,7 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foliospark.session import work_folder
 
@@ -54,7 +53,7 @@ def append(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFr
     return read(df.sparkSession, path)
 
 
-def create_if_missing(spark: SparkSession, path: str, schema: T.StructType, partition_by: Iterable[str] = ()) -> bool:
+def create_if_missing(spark: SparkSession, path: str, schema: str, partition_by: Iterable[str] = ()) -> bool:
     """Create an empty table with this schema; an existing one is left alone. True when created."""
     if exists(spark, path):
         return False
@@ -110,6 +109,17 @@ def promote(spark: SparkSession, pairs: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(done, "staging string, production string, row_count bigint")
 
 
+def stage(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write an intermediate result once to the shared working folder and go on from the written copy.
+
+    For results that several later steps read: the copy is computed once, survives lost executors, can be
+    pruned by column, and tells the optimizer its size.
+    """
+    path = f"{work_folder(df.sparkSession)}/{label}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def system_sample(df: DataFrame, fraction: float, limit: int, seed: int = 42) -> DataFrame:
     """Bounded random sample for export."""
     return df.sample(fraction=fraction, seed=seed).limit(limit)
