@@ -69,10 +69,10 @@ def long_dates(d):
     return d.raw.interactions.select("review_id", long_date(when).alias("date_read"))
 
 
-@query("s10_casts", "SELECT event_id, TRY_CAST(book_id AS BIGINT) AS book_no, TRY_CAST(event_type AS BIGINT) AS not_a_number, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') || '+00' AS seen FROM fx_events")
+@query("s10_casts", "SELECT event_id, TRY_CAST(book_id AS BIGINT) AS book_no, coalesce(TRY_CAST(event_type AS BIGINT), -1) AS not_a_number, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') || '+00' AS seen FROM fx_events")
 def casts(spark, sf_dir):
     return adapters.events(spark, sf_dir).select("event_id", F.col("book_id").try_cast("bigint").alias("book_no"),
-                                                 F.col("event_type").try_cast("bigint").alias("not_a_number"), instant_text(F.col("event_timestamp")).alias("seen"))
+                                                 F.coalesce(F.col("event_type").try_cast("bigint"), F.lit(-1)).alias("not_a_number"), instant_text(F.col("event_timestamp")).alias("seen"))
 
 
 @on_tables("s11_logarithms", "SELECT book_id, r4(ln(1 + ratings_count)) AS log_count, r4(ln(num_pages + 50)) AS log_pages FROM fx_books")

@@ -179,7 +179,7 @@ def drift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("metric_value")
     return metric_history(spark, sf_dir).where(F.col("metric_name") == "mae").select(
         "timestamp", F.col("model_name").alias("feature_name"), v.alias("baseline_mean"), (v / 2).alias("baseline_std"), (v + 1).alias("current_mean"),
-        (v / 3).alias("current_std"), F.lit(0.1).alias("ks_statistic"), F.lit(0.2).alias("ks_pvalue"), (v / 100).alias("psi_score"), (v > 20).alias("drift_detected"))
+        (v / 3).alias("current_std"), F.lit(0.1).alias("ks_statistic"), F.lit(0.2).alias("ks_pvalue"), (v / 7).alias("psi_score"), (v > 20).alias("drift_detected"))
 
 
 def model_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
