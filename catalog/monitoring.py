@@ -120,7 +120,8 @@ def promotion(d):
 
 
 @query("n11_promotion_decisions", """
-SELECT display_name, new_version, current_version, decision, CASE WHEN decision LIKE 'PROMOTED%' THEN new_version WHEN decision = 'ROLLBACK_KEPT_CURRENT' THEN current_version END AS promoted_version FROM (
+SELECT display_name, CAST(new_version AS VARCHAR) AS new_version, CAST(current_version AS VARCHAR) AS current_version, decision,
+  CAST(CASE WHEN decision LIKE 'PROMOTED%' THEN new_version WHEN decision = 'ROLLBACK_KEPT_CURRENT' THEN current_version END AS VARCHAR) AS promoted_version FROM (
   SELECT d.display_name, n.version AS new_version, c.version AS current_version, CASE WHEN n.version IS NULL THEN 'ERROR_NO_VERSIONS' WHEN mn.version IS NULL THEN 'ERROR_NEW_METRICS'
     WHEN c.version IS NULL THEN 'PROMOTED_FIRST_DEFAULT' WHEN mc.version IS NULL THEN 'KEPT_CURRENT_NO_COMPARISON' WHEN mc.rmse IS NULL THEN 'ERROR_CURRENT_METRICS'
     WHEN (mc.rmse - mn.rmse) / mc.rmse > 0 AND NOT ((mc.mae - mn.mae) / mc.mae * 100 < -10 OR (mn.r_squared - mc.r_squared) / greatest(mc.r_squared, 0.01) * 100 < -10) THEN 'PROMOTED_NEW_VERSION'
@@ -132,4 +133,5 @@ SELECT display_name, new_version, current_version, decision, CASE WHEN decision
   LEFT JOIN fx_version_metrics mn ON mn.display_name = d.display_name AND mn.version = n.version
   LEFT JOIN fx_version_metrics mc ON mc.display_name = d.display_name AND mc.version = c.version)""")
 def decisions(spark, sf_dir):
-    return selection.promotion_decisions(adapters.model_registry(spark, sf_dir), adapters.version_metrics(spark, sf_dir))
+    out = selection.promotion_decisions(adapters.model_registry(spark, sf_dir), adapters.version_metrics(spark, sf_dir))
+    return out.withColumns({c: F.col(c).cast("string") for c in ("new_version", "current_version", "promoted_version")})

@@ -164,11 +164,13 @@ def frontend_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly metric rows per event type, in the layout of the metric history."""
+    """Hourly metric rows per event type, in the layout of the metric history. One type gets worse in the last week."""
     value = F.col("value")
     hourly = table(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts").alias("timestamp"), F.col("event_type").alias("model_name")).agg(
         F.avg(value).alias("mae"), F.sqrt(F.avg(value * value)).alias("rmse"), F.avg(F.when(value < 30, 1.0).otherwise(0.0)).alias("r_squared"),
         F.count(F.lit(1)).alias("predictions_count"))
+    worse = (F.col("model_name") == "click") & (F.col("timestamp") >= F.lit(dt.datetime(2024, 1, 24, tzinfo=dt.timezone.utc)))
+    hourly = hourly.withColumn("rmse", F.when(worse, F.col("rmse") * 1.5).otherwise(F.col("rmse")))
     return hourly.unpivot(["timestamp", "model_name", "predictions_count"], ["mae", "rmse", "r_squared"], "metric_name", "metric_value").select(
         "timestamp", "model_name", F.lit("v1").alias("model_version"), "metric_name", "metric_value", "predictions_count",
         F.lit("test").alias("evaluation_dataset"))
@@ -197,7 +199,8 @@ def version_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Orders before and from 1998 on: the two sides of a drift check."""
+    """Orders before and from 1998 on: the two sides of a drift check. The later customer keys are doubled, which is the drift."""
     orders = table(spark, sf_dir, "orders").select("o_totalprice", "o_custkey", "o_orderdate")
     cut = F.lit(dt.datetime(1998, 1, 1, tzinfo=dt.timezone.utc))
-    return orders.where(F.col("o_orderdate") < cut), orders.where(F.col("o_orderdate") >= cut)
+    later = orders.where(F.col("o_orderdate") >= cut).withColumn("o_custkey", F.col("o_custkey") * 2)
+    return orders.where(F.col("o_orderdate") < cut), later
