@@ -10,12 +10,10 @@ from pyspark.sql import types as T
 
 from catalog.ctes import CTES
 from foliospark.plans.tables import Derived, Inputs
-from foliospark.session import prepare
 from foliospark.sources import adapters
 
 
 def derived(spark: SparkSession, sf_dir: str) -> Derived:
-    prepare(spark)
     return Derived(Inputs(
         adapters.books(spark, sf_dir), adapters.interactions(spark, sf_dir), adapters.authors(spark, sf_dir),
         adapters.name_genders(spark, sf_dir), adapters.AS_OF))

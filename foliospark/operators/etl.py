@@ -9,6 +9,7 @@ from foliospark.functions.dates import activity_text, instant_text
 from foliospark.functions.labels import lookup
 from foliospark.operators.ordered import latest_by
 from foliospark.settings import EVENT_PRIORITY
+from foliospark.sources.tables import stage
 
 INTERACTION_COLUMNS = ["user_id", "book_id", "review_id", "date_added", "date_updated", "read_at", "started_at",
                        "is_read", "rating", "review_text_incomplete", "interaction_type"]
@@ -53,27 +54,26 @@ def upsert_reads(target: DataFrame, source: DataFrame) -> DataFrame:
     """Merge read marks (``user_id, book_id, rating, read_time``) into the interactions.
 
     A match on (user, book) sets six fields; a new pair is inserted with defaults. The source counts
-    once per pair, its latest mark winning.
+    once per pair, its latest mark winning. Two joins in place of a full outer one: both let few marks be broadcast, so
+    the large target is not shuffled, and both can split a hot key.
     """
-    marks = latest_by(source.select("user_id", "book_id", "rating", "read_time"), ["user_id", "book_id"], [F.col("read_time")])
-    s = marks.select("user_id", "book_id", F.coalesce("rating", F.lit(0)).cast("bigint").alias("_rating"),
-                     activity_text(F.col("read_time")).alias("_now"), F.lit(True).alias("_hit"))
-    joined = target.withColumn("_row", F.lit(True)).join(s, ["user_id", "book_id"], "full_outer")
-    hit, old = F.col("_hit"), F.col("_row")
+    keys = ["user_id", "book_id"]
+    marks = stage(latest_by(source.select(*keys, "rating", "read_time"), keys, [F.col("read_time")]).select(
+        *keys, F.coalesce("rating", F.lit(0)).cast("bigint").alias("_rating"), activity_text(F.col("read_time")).alias("_now")), "marks")
+    now = F.col("_now")
     changed = {
-        "rating": F.col("_rating"), "date_updated": F.col("_now"), "read_at": F.col("_now"), "date_added": F.col("_now"),
+        "rating": F.col("_rating"), "date_updated": now, "read_at": now, "date_added": now,
         "is_read": F.lit(True), "interaction_type": F.lit("read"),
     }
-    inserted = {"started_at": F.lit(""), "review_text_incomplete": F.lit("")}
-    out = []
-    for c in target.columns:
-        if c in changed:
-            out.append(F.when(hit, changed[c]).otherwise(F.col(c)).alias(c))
-        elif c in inserted:
-            out.append(F.when(old.isNull(), inserted[c]).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
-    return joined.select(*out)
+    hit = now.isNotNull()
+    updated = target.join(marks, keys, "left").select(
+        *[F.when(hit, changed[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c) for c in target.columns])
+    matched = target.select(*keys).join(marks.select(*keys), keys, "left_semi").distinct()
+    fresh = {**changed, "started_at": F.lit(""), "review_text_incomplete": F.lit("")}
+    types = dict(target.dtypes)
+    inserted = marks.join(matched, keys, "left_anti").select(
+        *[F.col(c) if c in keys else fresh.get(c, F.lit(None)).cast(types[c]).alias(c) for c in target.columns])
+    return updated.unionByName(inserted)
 
 
 def merge_events(target: DataFrame, events: DataFrame) -> DataFrame:

@@ -70,22 +70,23 @@ def rating_threshold(books: DataFrame, exact: bool = True) -> DataFrame:
 def final_books(books: DataFrame, exact: bool = True) -> DataFrame:
     """Add the table-wide marks (great, scaled popularity) and the categories.
 
-    The table-wide values are one-row aggregates, so no window spans the table.
+    The table-wide values are three aggregates, read as one row and put into the plan as constants: no window spans
+    the table, and nothing is joined.
     """
-    span = books.agg(F.min("popularity_score").alias("_min"), F.max("popularity_score").alias("_max"))
-    scaled = share(F.col("popularity_score") - F.col("_min"), F.nullif(F.col("_max") - F.col("_min"), F.lit(0)))
-    return (
-        books.crossJoin(F.broadcast(rating_threshold(books, exact))).crossJoin(F.broadcast(span))
-        .withColumns({
-            "great": F.coalesce(F.col("adjusted_average_rating") >= F.col("rating_threshold"), F.lit(False)),
-            "book_popularity_normalized": F.coalesce(scaled, F.lit(0.5)),
-            "reading_pace_category": labels.reading_pace(F.col("avg_book_reading_time_days")),
-            "book_length_category": labels.book_length(F.col("num_pages")),
-            "avg_pages_per_day": F.coalesce(share(F.col("num_pages"), F.col("avg_book_reading_time_days")),
-                                            F.lit(float(DEFAULT_PAGES_PER_DAY))),
-            "book_era": labels.book_era(F.col("book_age_years")),
-        }).drop("rating_threshold", "_min", "_max")
-    )
+    span = books.agg(F.min("popularity_score").alias("low"), F.max("popularity_score").alias("high"))
+    facts = span.crossJoin(F.broadcast(rating_threshold(books, exact))).first()
+    low, high, threshold = (facts["low"], facts["high"], facts["rating_threshold"]) if facts else (None, None, None)
+    spread = None if low is None or high == low else high - low
+    scaled = share(F.col("popularity_score") - F.lit(low), F.lit(spread))
+    return books.withColumns({
+        "great": F.coalesce(F.col("adjusted_average_rating") >= F.lit(threshold), F.lit(False)),
+        "book_popularity_normalized": F.coalesce(scaled, F.lit(0.5)),
+        "reading_pace_category": labels.reading_pace(F.col("avg_book_reading_time_days")),
+        "book_length_category": labels.book_length(F.col("num_pages")),
+        "avg_pages_per_day": F.coalesce(share(F.col("num_pages"), F.col("avg_book_reading_time_days")),
+                                        F.lit(float(DEFAULT_PAGES_PER_DAY))),
+        "book_era": labels.book_era(F.col("book_age_years")),
+    })
 
 
 def user_features(timed: DataFrame, as_of: dt.date) -> DataFrame:

@@ -27,6 +27,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, *folders: str, bytes_per_partition: int = 128 << 20) -> None:
+    """Raise the number of shuffle partitions to what the input size asks for; AQE merges those that turn out small.
+
+    The session's own setting is the floor, so small inputs keep it.
+    """
+    jvm, total = spark.sparkContext._jvm, 0
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        total += fs.getContentSummary(path).getLength()
+    wanted = -(-total // bytes_per_partition)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and benches."""
     builder = (
@@ -43,12 +58,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A fresh folder under the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """A fresh folder under the shared checkpoint folder, which ``spark.checkpoint.dir`` names.
 
     Only a local-mode session may fall back to a temporary folder: on a cluster the executors
     would not share it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
@@ -60,4 +75,4 @@ def work_folder(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage in the shared folder; keep a folder already set."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_folder(spark))
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or work_folder(spark))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.functions.numbers import split_bucket
-from foliospark.operators.etl import INTERACTION_COLUMNS, merge_events, strongest_events
+from foliospark.operators.etl import INTERACTION_COLUMNS, merge_events, strongest_events, to_interactions
 from foliospark.operators.quality import split_events
 from foliospark.sources import tables
 from foliospark.streaming import sinks
@@ -14,12 +14,15 @@ from foliospark.streaming import sinks
 BUCKETS = 64
 
 
-def _bucketed(df: DataFrame) -> DataFrame:
-    return df.withColumn("bucket", split_bucket(F.col("user_id"), BUCKETS).cast("int"))
+def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    """Bucket of the (user, book) pair, so that a hot user is spread over all buckets."""
+    return df.withColumn("bucket", split_bucket(F.concat_ws("/", "user_id", "book_id"), buckets).cast("int"))
 
 
-def upsert_sink(path: str, work: str):
-    """Merge a micro-batch into the table at ``path``, rewriting only the user buckets it touches.
+def upsert_sink(path: str, work: str, buckets: int = BUCKETS):
+    """Merge a micro-batch into the table at ``path``, rewriting only the buckets it touches.
+
+    ``buckets`` belongs to the table: choose it so that a bucket of the full-grown table is a few gigabytes.
 
     The merged buckets are staged first. A replay after a failure finds them and only repeats the swap, and merging the
     same events twice changes nothing. One writer per table.
@@ -32,14 +35,14 @@ def upsert_sink(path: str, work: str):
             rejected.write.mode("overwrite").parquet(f"{work}/rejected/batch={batch_id}")
             new = strongest_events(valid)
             if tables.exists(spark, path):
-                # At most BUCKETS values: they prune the read of the table to the buckets that change.
-                touched = [r["bucket"] for r in _bucketed(new.select("user_id")).select("bucket").distinct().collect()]
+                # At most ``buckets`` values: they prune the read of the table to the buckets that change.
+                touched = [r["bucket"] for r in _bucketed(to_interactions(new), buckets).select("bucket").distinct().collect()]
                 target = tables.read(spark, path).where(F.col("bucket").isin(touched)).select(*INTERACTION_COLUMNS)
                 merged = merge_events(target, new)
             else:
                 empty = spark.createDataFrame([], _interaction_schema())
                 merged = merge_events(empty, new)
-            _bucketed(merged).write.mode("overwrite").partitionBy("bucket").parquet(staged)
+            _bucketed(merged, buckets).write.mode("overwrite").partitionBy("bucket").parquet(staged)
         tables.read(spark, staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
     return merge
@@ -50,9 +53,9 @@ def _interaction_schema() -> str:
     return ", ".join(f"{c} {types.get(c, 'string')}" for c in INTERACTION_COLUMNS)
 
 
-def ingest(stream: DataFrame, path: str, work: str) -> None:
+def ingest(stream: DataFrame, path: str, work: str, buckets: int = BUCKETS) -> None:
     """Run the event stream into the interaction table until everything available is in."""
-    sinks.run(stream, f"{work}/checkpoint", upsert_sink(path, work))
+    sinks.run(stream, f"{work}/checkpoint", upsert_sink(path, work, buckets))
 
 
 def unique_events(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
