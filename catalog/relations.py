@@ -342,7 +342,7 @@ def first_ten(d):
 
 @query("k5_drift_history", """
 SELECT strftime(timestamp, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, model_name AS feature_name, r4(metric_value) AS baseline_mean, r4(metric_value + 1) AS current_mean, r4(0.2) AS ks_pvalue,
-  r4(metric_value / 7) AS psi_score, metric_value > 20 AS drift_detected FROM (
+  r4(metric_value / 7) AS psi_score, metric_value > 7 AS drift_detected FROM (
   SELECT * FROM fx_history WHERE metric_name = 'mae' AND timestamp >= TIMESTAMP '2024-01-24' ORDER BY timestamp DESC, model_name LIMIT 500)""")
 def drift_history(spark, sf_dir):
     return monitoring.drift_history(adapters.drift_log(spark, sf_dir), adapters.EVENTS_AS_OF)

@@ -167,7 +167,7 @@ def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly metric rows per event type, in the layout of the metric history. One type gets worse in the last week."""
     value = F.col("value")
     hourly = table(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts").alias("timestamp"), F.col("event_type").alias("model_name")).agg(
-        F.avg(value).alias("mae"), F.sqrt(F.avg(value * value)).alias("rmse"), F.avg(F.when(value < 30, 1.0).otherwise(0.0)).alias("r_squared"),
+        (F.avg(value) / 3).alias("mae"), F.sqrt(F.avg(value * value)).alias("rmse"), F.avg(F.when(value < 30, 1.0).otherwise(0.0)).alias("r_squared"),
         F.count(F.lit(1)).alias("predictions_count"))
     worse = (F.col("model_name") == "click") & (F.col("timestamp") >= F.lit(dt.datetime(2024, 1, 24, tzinfo=dt.timezone.utc)))
     hourly = hourly.withColumn("rmse", F.when(worse, F.col("rmse") * 1.5).otherwise(F.col("rmse")))
@@ -181,7 +181,7 @@ def drift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("metric_value")
     return metric_history(spark, sf_dir).where(F.col("metric_name") == "mae").select(
         "timestamp", F.col("model_name").alias("feature_name"), v.alias("baseline_mean"), (v / 2).alias("baseline_std"), (v + 1).alias("current_mean"),
-        (v / 3).alias("current_std"), F.lit(0.1).alias("ks_statistic"), F.lit(0.2).alias("ks_pvalue"), (v / 7).alias("psi_score"), (v > 20).alias("drift_detected"))
+        (v / 3).alias("current_std"), F.lit(0.1).alias("ks_statistic"), F.lit(0.2).alias("ks_pvalue"), (v / 7).alias("psi_score"), (v > 7).alias("drift_detected"))
 
 
 def model_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
