@@ -70,8 +70,9 @@ FROM (SELECT date_trunc('hour', event_timestamp) + to_hours(CAST(k + 1 AS BIGINT
   FROM fx_events CROSS JOIN range(24) r(k) GROUP BY 1, 2) WHERE c > 0 GROUP BY w""")
 def sliding_click_through(spark, sf_dir):
     root = work_folder(spark)
-    sinks.run(windows.sliding_clicks(_events(spark, sf_dir)), f"{root}/checkpoint", sinks.batch_folder(f"{root}/clicks"), mode="update")
-    return windows.window_verdicts(sinks.newest_updates(spark, f"{root}/clicks", ["window_end", "user_id"]))
+    sinks.run(windows.hourly_clicks(_events(spark, sf_dir)), f"{root}/checkpoint", sinks.batch_folder(f"{root}/clicks"), mode="update")
+    hourly = sinks.newest_updates(spark, f"{root}/clicks", ["hour", "user_id"])
+    return windows.window_verdicts(windows.sliding_clicks(hourly))
 
 
 @query("x3_minute_timeline_stream", TIMELINE + " GROUP BY 1")

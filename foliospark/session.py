@@ -49,6 +49,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .appName("foliospark")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
