@@ -24,7 +24,7 @@ def _file_system(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def _writer(df: DataFrame, mode: str, partition_by: Iterable[str]):
+def writer(df: DataFrame, mode: str, partition_by: Iterable[str] = ()):
     """Writer of a table. Rows of one partition are brought together first, so a partition gets few files, not one
     per task; AQE splits the partitions that are too large for one task.
     """
@@ -35,7 +35,7 @@ def _writer(df: DataFrame, mode: str, partition_by: Iterable[str]):
 
 def replace(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFrame:
     """Overwrite the table at ``path`` with ``df``; ``df`` must not read ``path`` (see ``replace_from_self``)."""
-    _writer(df, "overwrite", partition_by).parquet(path)
+    writer(df, "overwrite", partition_by).parquet(path)
     return read(df.sparkSession, path)
 
 
@@ -43,7 +43,7 @@ def replace_from_self(df: DataFrame, path: str, partition_by: Iterable[str] = ()
     """Overwrite a table with a result that reads the same table: write aside, then swap the folders."""
     spark = df.sparkSession
     aside, old = f"{path.rstrip('/')}__next", f"{path.rstrip('/')}__old"
-    _writer(df, "overwrite", partition_by).parquet(aside)
+    writer(df, "overwrite", partition_by).parquet(aside)
     fs, target = _file_system(spark, path)
     _, jaside = _file_system(spark, aside)
     _, jold = _file_system(spark, old)
@@ -58,7 +58,7 @@ def replace_from_self(df: DataFrame, path: str, partition_by: Iterable[str] = ()
 
 
 def append(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFrame:
-    _writer(df, "append", partition_by).parquet(path)
+    writer(df, "append", partition_by).parquet(path)
     return read(df.sparkSession, path)
 
 

@@ -42,8 +42,9 @@ def upsert_sink(path: str, work: str, buckets: int = BUCKETS):
             else:
                 empty = spark.createDataFrame([], _interaction_schema())
                 merged = merge_events(empty, new)
-            _bucketed(merged, buckets).write.mode("overwrite").partitionBy("bucket").parquet(staged)
-        tables.read(spark, staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+            _bucketed(merged, buckets).write.mode("overwrite").parquet(staged)
+        swap = tables.writer(tables.read(spark, staged), "overwrite", ["bucket"])
+        swap.option("partitionOverwriteMode", "dynamic").parquet(path)
 
     return merge
 

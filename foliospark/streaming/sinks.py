@@ -20,7 +20,7 @@ def run(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int],
 def batch_folder(path: str, partition_by: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
     """Each micro-batch owns one folder and overwrites it, so a replay writes the same rows once."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch={batch_id}")
+        tables.writer(batch, "overwrite", partition_by).parquet(f"{path}/batch={batch_id}")
 
     return write
 
