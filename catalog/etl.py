@@ -21,7 +21,7 @@ def migrate(spark, sf_dir):
     return etl.migrate_events(adapters.events(spark, sf_dir))
 
 
-@query("t1a_event_priority", f"SELECT event_type, {_PRIORITY} AS priority, count(*) AS events FROM fx_events GROUP BY 1, 2")
+@query("t1a_event_priority", f"SELECT event_type, CAST({_PRIORITY} AS BIGINT) AS priority, count(*) AS events FROM fx_events GROUP BY 1, 2")
 def priority(spark, sf_dir):
     return adapters.events(spark, sf_dir).groupBy("event_type", etl.priority(F.col("event_type")).alias("priority")).agg(F.count(F.lit(1)).alias("events"))
 

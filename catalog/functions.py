@@ -80,7 +80,7 @@ def logarithms(d):
     return d.raw.books.select("book_id", F.log1p("ratings_count").alias("log_count"), F.ln(F.col("num_pages") + 50).alias("log_pages"))
 
 
-@query("s12_half_away_rounding", "SELECT l_orderkey, l_linenumber, CAST(round(l_quantity / 2) AS BIGINT) AS up, CAST(round(-l_quantity / 2) AS BIGINT) AS down, CAST(round(ln(l_quantity + 1)) AS BIGINT) AS log_up FROM lineitem")
+@query("s12_half_away_rounding", "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(round(l_quantity / 2) AS BIGINT) AS up, CAST(round(-l_quantity / 2) AS BIGINT) AS down, CAST(round(ln(l_quantity + 1)) AS BIGINT) AS log_up FROM lineitem")
 def rounding(spark, sf_dir):
     q = F.col("l_quantity")
     return adapters.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", whole(q / 2).alias("up"), whole(-q / 2).alias("down"), log_step(q).alias("log_up"))

@@ -142,7 +142,7 @@ def retype(d):
     return d.raw.interactions.select("user_id", "book_id", F.col("rating").cast("double").alias("rating"))
 
 
-@on_tables("i16_feature_metadata", "SELECT 'features' AS table_name, count(*) AS row_count, 37 AS columns FROM feats")
+@on_tables("i16_feature_metadata", "SELECT 'features' AS table_name, count(*) AS row_count, CAST(37 AS BIGINT) AS columns FROM feats")
 def feature_metadata(d):
     listing = tables.metadata(d.features, "features", _stamp())
     return listing.groupBy("table_name").agg(F.max("row_count").alias("row_count"), F.count(F.lit(1)).alias("columns"))
