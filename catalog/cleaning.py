@@ -84,7 +84,7 @@ def known_books_semi(d):
 @on_tables("c11_null_defaults", """
 SELECT book_id, coalesce(publication_year, 1997) AS publication_year, coalesce(num_pages, 300) AS num_pages,
   r4(coalesce(avg_book_reading_time, 14)) AS avg_book_reading_time_days, coalesce(num_readers_with_time, 0) AS num_readers_with_reading_time
-FROM (SELECT *, CAST(NULL AS BIGINT) AS z FROM fx_books) LEFT JOIN book_times USING (book_id)""")
+FROM fx_books LEFT JOIN book_times USING (book_id)""")
 def null_defaults(d):
     times = features.book_reading_times(features.with_times(d.interactions))
     books = cleaning.clean_columns(d.raw.books)
