@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.sources.tables import stage
@@ -33,3 +37,17 @@ def hash60(digest: Column) -> Column:
 def row_digest(df: DataFrame, keys: list[str]) -> Column:
     """MD5 of the listed columns; nulls differ from every text."""
     return F.md5(F.concat_ws("\x01", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("\x02")) for k in keys]))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application; Spark's file server carries it to the executors."""
+    context = spark.sparkContext
+    name = "foliospark-workers.zip"
+    if any(f.endswith(name) for f in context.listFiles):
+        return
+    top = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="run-")) / name
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted(top.rglob("*.py")):
+            out.write(f, f.relative_to(top.parent))
+    context.addPyFile(str(path))

@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import line_dedup, sharding, warc
-from foliospark.session import RUNTIME_CONF
+import public_tokenizers
+
+from foliospark.llm import line_dedup, packing, sharding, token_grammar, warc
+from foliospark.llm.common import ship
+from foliospark.session import RUNTIME_CONF, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +22,7 @@ def query(name: str, sql: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
                 spark.conf.set(key, RUNTIME_CONF[key])
+            ship(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run
@@ -116,3 +120,16 @@ def op7_warc_revisits(spark, sf_dir):
     none = F.lit(-1).cast("bigint")  # no response or payload
     return out.select("record_id", "canonical_url", "outcome", F.coalesce("refers_to", none).alias("refers_to"), "payload_sha256", F.coalesce("payload_bytes", none).alias("payload_bytes"),
                       F.when(F.col("headers").isNotNull(), F.array_join(lines, "\n")).alias("headers"))
+
+
+@query("op4_packing")
+def op4_packing(spark, sf_dir):
+    out = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", "piece", "start", F.col("length").cast("bigint"), "ids_crc32", "sequence_id", "offset")
+
+
+@query("op10_token_grammar")
+def op10_token_grammar(spark, sf_dir):
+    path = f"{work_folder(spark)}/tokens"
+    token_grammar.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_grammar.document_digests(spark, path)
