@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from foliospark.llm import line_dedup, packing, sharding, token_grammar, warc
+from foliospark.llm import language_id, line_dedup, packing, sharding, simhash, token_grammar, warc
 from foliospark.llm.common import ship
 from foliospark.session import RUNTIME_CONF, work_folder
 
@@ -133,3 +133,16 @@ def op10_token_grammar(spark, sf_dir):
     path = f"{work_folder(spark)}/tokens"
     token_grammar.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return token_grammar.document_digests(spark, path)
+
+
+@query("op6_language_id")
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.identify(docs, language_id.fit(docs))
+    return out.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_simhash")
+def op8_simhash(spark, sf_dir):
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
