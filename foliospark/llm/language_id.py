@@ -65,7 +65,8 @@ def _gram(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     out = np.zeros((len(a[0]), len(b[0])))
     for x, y in zip(a, b):
         nx, ny = np.maximum(x.sum(1), 1), np.maximum(y.sum(1), 1)
-        out += (x.astype(np.float32) @ y.astype(np.float32).T) / np.sqrt(nx[:, None] * ny[None, :])
+        shared = np.flatnonzero(y.any(0))  # no other place can be in common
+        out += (x[:, shared].astype(np.float32) @ y[:, shared].astype(np.float32).T) / np.sqrt(nx[:, None] * ny[None, :])
     return out / len(a)
 
 

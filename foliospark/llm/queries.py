@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from foliospark.llm import language_id, line_dedup, packing, sharding, simhash, token_grammar, warc
+from foliospark.llm import fingerprint, language_id, line_dedup, packing, sharding, simhash, token_grammar, warc
 from foliospark.llm.common import ship
 from foliospark.session import RUNTIME_CONF, work_folder
 
@@ -146,3 +146,9 @@ def op6_language_id(spark, sf_dir):
 def op8_simhash(spark, sf_dir):
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op9_fingerprints")
+def op9_fingerprints(spark, sf_dir):
+    out = fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
