@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliospark.session import RUNTIME_CONF
 from foliospark.sources.tables import stage
 
 BROADCAST_ROWS = 200_000
@@ -39,6 +40,14 @@ def row_digest(df: DataFrame, keys: list[str]) -> Column:
     return F.md5(F.concat_ws("\x01", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("\x02")) for k in keys]))
 
 
+def ready(spark: SparkSession) -> None:
+    """The settings these operators count on, and the package on the workers."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        spark.conf.set(key, RUNTIME_CONF[key])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")  # texts are long
+    ship(spark)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application; Spark's file server carries it to the executors."""
     context = spark.sparkContext

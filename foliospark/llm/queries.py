@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
-from foliospark.llm import fingerprint, language_id, line_dedup, packing, sharding, simhash, token_grammar, warc
-from foliospark.llm.common import ship
-from foliospark.session import RUNTIME_CONF, work_folder
+from foliospark.llm import decontaminate, fingerprint, language_id, license_scan, line_dedup, packing, sharding, simhash, token_grammar, warc
+from foliospark.llm.common import ready
+from foliospark.session import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,9 +19,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
-                spark.conf.set(key, RUNTIME_CONF[key])
-            ship(spark)
+            ready(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run
@@ -152,3 +149,19 @@ def op8_simhash(spark, sf_dir):
 def op9_fingerprints(spark, sf_dir):
     out = fingerprint.fingerprints(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query("op1_license_scan")
+def op1_license_scan(spark, sf_dir):
+    out = license_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
+    every = F.array_sort(F.array_union(base, F.transform("notices", lambda m: m["label"])))
+    at = F.transform("places", lambda p: p["at"])
+    score = F.greatest(F.coalesce(F.array_max(F.transform("notices", lambda m: m["containment"])), F.lit(0.0)), F.when(F.size("places") > 0, 1.0).otherwise(0.0))
+    return out.select("doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"), F.array_min(at).alias("first_word"), F.array_max(at).alias("last_word"),
+                      F.array_join(base, ",").alias("base_labels"), F.array_join(every, ",").alias("labels"), score.alias("score"))
+
+
+@query("op5_decontamination")
+def op5_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
