@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import zipfile
 from pathlib import Path
@@ -60,3 +61,15 @@ def ship(spark: SparkSession) -> None:
         for f in sorted(top.rglob("*.py")):
             out.write(f, f.relative_to(top.parent))
     context.addPyFile(str(path))
+
+
+def keeps_columns(operator):
+    """For operators that hand on the input's further columns: names that start with ``_`` are theirs while they work."""
+
+    @functools.wraps(operator)
+    def run(rows: DataFrame, *args, **kwargs) -> DataFrame:
+        aside = {c: f"input{i}{c}" for i, c in enumerate(rows.columns) if c.startswith("_")}
+        out = operator(rows.withColumnsRenamed(aside), *args, **kwargs)
+        return out.withColumnsRenamed({v: k for k, v in aside.items()})
+
+    return run

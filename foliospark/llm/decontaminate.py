@@ -26,6 +26,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.llm.common import keeps_columns
+
 EDITS = 0.2
 LEAST_WORDS = 5
 WALKS, SAMPLES, BITS = 4, 8, 4
@@ -209,6 +211,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
     return found.select("doc_id", F.explode("_found").alias("_p")).select("doc_id", "_p.*")
 
 
+@keeps_columns
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents without a benchmark passage, with their columns."""
     found = docs.withColumn("_found", passages(docs, benchmark, text))

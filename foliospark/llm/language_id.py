@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliospark.llm.common import keeps_columns
+
 SAMPLE = 600  # labelled rows per language
 LANDMARKS = 160  # in all
 RIDGE = 1e-2
@@ -137,6 +139,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge
     return fit_rows([r["text"] for r in rows], [r["lang"] for r in rows], landmarks, ridge)
 
 
+@keeps_columns
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents with ``lang_pred`` and ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights))
@@ -153,6 +156,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return found.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")
 
 
+@keeps_columns
 def accepted(docs: DataFrame, model: Model, text: str = "text", below: float = REJECT_BELOW) -> DataFrame:
     """The documents whose language is recognised; their columns only."""
-    return identify(docs, model, text).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= below)).select(*docs.columns)
+    return identify(docs, model, text).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= below)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import text_or_empty
+from foliospark.llm.common import keeps_columns, text_or_empty
 
 CONTAINED = 0.9
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -98,7 +98,8 @@ def _matches(lines: Column, index: Index) -> Column:
 
     blocks = F.sequence(F.lit(0), F.size(lines) - 1)
     single = F.flatten(F.transform(blocks, lambda i: block(i, 1)))
-    triple = F.flatten(F.transform(blocks, lambda i: block(i, 3)))
+    # From the last line on there is nothing to join.
+    triple = F.flatten(F.transform(F.slice(blocks, 1, F.greatest(F.size(lines) - 1, F.lit(0))), lambda i: block(i, 3)))
     return F.concat(single, triple)
 
 
@@ -122,6 +123,7 @@ def _phrase(words: Column, parts: list[str], label: str) -> Column:
     return F.when(F.array_contains(words, parts[-1]), places).otherwise(F.array().cast("array<struct<at:bigint,label:string>>"))
 
 
+@keeps_columns
 def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str]] | None = None, contained: float = CONTAINED,
          phrases: dict[str, str] | None = None) -> DataFrame:
     """The documents with ``n_words``, ``places`` (phrases) and ``notices`` (blocks that contain a template, with its label)."""

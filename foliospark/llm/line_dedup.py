@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import small, written
+from foliospark.llm.common import keeps_columns, small, written
 
 MAX_RATIO = 0.1
 MIN_PAGES = 5
@@ -49,6 +49,7 @@ def boilerplate(pages: DataFrame, host: str = "source", text: str = "text", max_
             .agg(F.collect_list("_line").alias("_lines")))
 
 
+@keeps_columns
 def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """The pages without their host's boilerplate lines, with ``n_lines`` and ``n_dropped``."""
     pages = pages.drop("n_lines", "n_dropped")

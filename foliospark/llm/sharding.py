@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import hash60, row_digest, small, written
+from foliospark.llm.common import hash60, keeps_columns, row_digest, small, written
 
 BITS = 60
 LIMIT_BYTES = 1 << 20
@@ -70,6 +70,7 @@ def directory(cells: DataFrame, limit: int) -> list[tuple[int, DataFrame, int]]:
         base, depth = depth, min(BITS, depth + EXTRA_BITS)
 
 
+@keeps_columns
 def shard(rows: DataFrame, size: Column | None = None, limit: int = LIMIT_BYTES, keys: list[str] | None = None) -> DataFrame:
     """The rows with ``hash``, ``bytes``, ``shard``, ``depth`` and ``shard_bytes``. ``size`` defaults to the bytes of ``text``."""
     rows = rows.drop(*ADDED)

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import small, written
+from foliospark.llm.common import keeps_columns, small, written
 
 SEED = 42
 SHINGLE = 3
@@ -120,11 +120,12 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     both, n = written(both, "links")
     ends = both.select(F.col("a").alias("node")).distinct()
     labels = ends.join(nodes.select("node", "doc"), "node").select("node", F.struct("doc", "node").alias("label"))
-    labels, _ = written(labels, "labels")
+    labels, ends = written(labels, "labels")
     while n:
-        around = (both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near")))
-        nearer = labels.join(around, F.col("node") == F.col("a")).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        up = nearer.select(F.col("node").alias("up"), F.col("label").alias("up_label"))
+        known = small(labels.select(F.col("node").alias("b"), F.col("label").alias("near")), ends)
+        around = both.join(known, "b").groupBy("a").agg(F.min("near").alias("near"))
+        nearer = labels.join(small(around, ends), F.col("node") == F.col("a")).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        up = small(labels.select(F.col("node").alias("up"), F.col("label").alias("up_label")), ends)
         jumped = nearer.join(up, F.col("label.node") == F.col("up")).select("node", F.least("label", "up_label").alias("label"), (F.col("old") != F.least("label", "up_label")).alias("moved"))
         jumped, _ = written(jumped, "labels")
         n = jumped.where("moved").count()
@@ -177,6 +178,7 @@ def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(F.get(fp, F.lit(0))), 16, "0"))
 
 
+@keeps_columns
 def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents without near copies: of every component the row with the smallest doc_id stays, with its columns.
 

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliospark.llm.common import keeps_columns
+
 # The fields that a 304 may update (RFC 9110, section 15.4.5).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary", "last-modified")
 # Query parameters that do not select content.
@@ -48,7 +50,7 @@ def merged_headers(stored: Column, update: Column) -> Column:
 
 
 def latest_earlier(records: DataFrame, spans: int = SPANS) -> DataFrame:
-    """As-of join: each revisit with ``found``, the latest earlier full response of its canonical URL.
+    """As-of join: each revisit with ``_found``, the latest earlier full response of its canonical URL.
 
     The times of a URL are cut into spans, and what each span hands on is its latest response; so a
     URL with a large share of all rows is worked on in as many tasks as it has spans, and a window over spans holds at most ``spans`` rows per URL.
@@ -64,30 +66,31 @@ def latest_earlier(records: DataFrame, spans: int = SPANS) -> DataFrame:
     rows = placed.select("*", F.lit(False).alias("_carried")).unionByName(
         carried.select("canonical_url", "_span", "_full", F.col("_full.ts").alias("ts"), F.lit(True).alias("_carried")), allowMissingColumns=True)
     before = Window.partitionBy("canonical_url", "_span").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
-    found = rows.withColumn("found", F.max("_full").over(before)).where(~F.col("_carried") & (F.col("kind") == "revisit"))
+    found = rows.withColumn("_found", F.max("_full").over(before)).where(~F.col("_carried") & (F.col("kind") == "revisit"))
     lost = records.where((F.col("kind") == "revisit") & (F.col("canonical_url").isNull() | F.col("ts").isNull()))
     return found.drop("_full", "_span", "_carried").unionByName(lost, allowMissingColumns=True)
 
 
+@keeps_columns
 def resolve_revisits(records: DataFrame, spans: int = SPANS) -> DataFrame:
     """One row per revisit record: outcome, the response it refers to, payload and merged headers. Further columns stay."""
-    records = records.withColumn("canonical_url", canonical_url(F.col("url")))
+    records = records.drop("outcome", "refers_to").withColumn("canonical_url", canonical_url(F.col("url")))
     asof = latest_earlier(records, spans)
     etag, modified = header(F.col("headers"), "etag"), header(F.col("headers"), "last-modified")
     weak = lambda c: F.regexp_replace(F.trim(c), "^W/", "")
-    stored_etag, stored_modified = header(F.col("found.headers"), "etag"), header(F.col("found.headers"), "last-modified")
-    outcome = (F.when(F.col("found").isNull(), "no_response")
+    stored_etag, stored_modified = header(F.col("_found.headers"), "etag"), header(F.col("_found.headers"), "last-modified")
+    outcome = (F.when(F.col("_found").isNull(), "no_response")
                .when(etag.isNotNull(), F.when(weak(etag) == weak(stored_etag), "etag").otherwise("changed"))
                .when(modified.isNotNull(), F.when(modified == stored_modified, "last_modified").otherwise("changed"))
                .otherwise("unverified"))
     out = asof.withColumn("outcome", outcome)
     match = F.col("outcome").isin("etag", "last_modified")
     return out.withColumns({
-        "refers_to": F.col("found.record_id"),
-        "payload_sha256": F.when(match, F.col("found.payload_sha256")),
-        "payload_bytes": F.when(match, F.col("found.payload_bytes")),
-        "headers": F.when(match, merged_headers(F.col("found.headers"), F.coalesce("headers", F.array().cast("array<struct<name:string,value:string>>")))),
-    }).drop("found")
+        "refers_to": F.col("_found.record_id"),
+        "payload_sha256": F.when(match, F.col("_found.payload_sha256")),
+        "payload_bytes": F.when(match, F.col("_found.payload_bytes")),
+        "headers": F.when(match, merged_headers(F.col("_found.headers"), F.coalesce("headers", F.array().cast("array<struct<name:string,value:string>>")))),
+    }).drop("_found")
 
 
 def crawl_records(pages: DataFrame) -> DataFrame:
