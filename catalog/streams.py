@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.etl import MIGRATED, PARSED, TIMELINE
 from catalog.registry import query
+from foliospark.functions.dates import activity_text
 from foliospark.operators.quality import split_events
 from foliospark.session import work_folder
 from foliospark.sources import adapters, tables
@@ -19,24 +20,54 @@ def _events(spark, sf_dir):
     return adapters.events_of(adapters.event_stream(spark, sf_dir))
 
 
-def _ingested(spark, sf_dir):
-    root = work_folder(spark)
-    events.ingest(_events(spark, sf_dir), f"{root}/interactions", f"{root}/work")
-    return tables.read(spark, f"{root}/interactions").drop("bucket")
-
-
 @query("t3_event_stream_etl", MIGRATED + _STREAMED)
 def event_etl(spark, sf_dir):
-    return _ingested(spark, sf_dir)
+    root = work_folder(spark)
+    events.ingest(_events(spark, sf_dir), f"{root}/events", f"{root}/work")
+    return events.current(spark, f"{root}/events")
 
 
 @query("x1_event_stream_upsert", f"SELECT interaction_type, count(*) AS row_count, count(DISTINCT user_id) AS users FROM (SELECT user_id, event_type AS interaction_type FROM {_STREAMED}) GROUP BY 1")
 def stream_upsert(spark, sf_dir):
-    """The stream runs twice into one table: the second delivery of every event changes nothing."""
+    """The stream runs twice; the second delivery of every event changes nothing."""
+    root = work_folder(spark)
+    for run in ("first", "second"):
+        events.ingest(_events(spark, sf_dir), f"{root}/events/{run}", f"{root}/{run}")
+    both = events.compact(spark, [f"{root}/events/first", f"{root}/events/second"], f"{root}/interactions")
+    return both.groupBy("interaction_type").agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("user_id").alias("users"))
+
+
+# Stored interactions: reads are moved thirty years on, past the events; the others lie before them. The user's number is that of an event user.
+_STORED = """(SELECT * FROM (SELECT concat('u', o_custkey) AS user_id, l_partkey % 100 AS book_id, concat(l_orderkey, '-', l_linenumber) AS review_id,
+    CASE WHEN l_returnflag = 'R' THEN l_shipdate + INTERVAL 30 YEAR ELSE l_shipdate END AS t, l_returnflag = 'R' AS is_read, CAST(l_linenumber % 6 AS BIGINT) AS rating,
+    CASE WHEN l_returnflag = 'R' THEN 'read' ELSE 'like' END AS interaction_type FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+  QUALIFY row_number() OVER (PARTITION BY user_id, book_id ORDER BY t DESC, review_id DESC) = 1)"""
+
+
+@query("x1_event_stream_merge", f"""
+SELECT coalesce(s.user_id, e.user_id) AS user_id, coalesce(s.book_id, e.book_id) AS book_id,
+  CASE WHEN s.user_id IS NULL OR e.event_timestamp > s.t THEN '' ELSE s.review_id END AS review_id,
+  CASE WHEN s.user_id IS NULL OR e.event_timestamp > s.t THEN e.event_type ELSE s.interaction_type END AS interaction_type,
+  CASE WHEN s.user_id IS NULL OR e.event_timestamp > s.t THEN FALSE ELSE s.is_read END AS is_read,
+  CASE WHEN s.user_id IS NULL OR e.event_timestamp > s.t THEN 0 ELSE s.rating END::BIGINT AS rating
+FROM {_STORED} s FULL JOIN (SELECT user_id, TRY_CAST(book_id AS BIGINT) AS book_id, event_type, event_timestamp FROM {_STREAMED}) e
+  ON s.user_id = e.user_id AND s.book_id = e.book_id""")
+def stream_merge(spark, sf_dir):
+    """Several micro-batches, some events delivered again and late, into a table that already has rows."""
     root = work_folder(spark)
-    events.ingest(_events(spark, sf_dir), f"{root}/interactions", f"{root}/first")
-    events.ingest(_events(spark, sf_dir), f"{root}/interactions", f"{root}/second")
-    return tables.read(spark, f"{root}/interactions").groupBy("interaction_type").agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("user_id").alias("users"))
+    raw = adapters.table(spark, sf_dir, "events")
+    again = raw.where(F.col("event_id") % 10 == 0)
+    raw.unionByName(again).repartition(4, "event_id").write.parquet(f"{root}/incoming")
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/incoming")
+    events.ingest(adapters.events_of(stream), f"{root}/events", f"{root}/work")
+    lines, orders = adapters.table(spark, sf_dir, "lineitem"), adapters.table(spark, sf_dir, "orders")
+    read = F.col("l_returnflag") == "R"
+    moved = F.when(read, F.add_months("l_shipdate", 360).cast("timestamp")).otherwise(F.col("l_shipdate").cast("timestamp"))
+    stored = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat(F.lit("u"), "o_custkey").alias("user_id"), (F.col("l_partkey") % 100).alias("book_id"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("review_id"),
+        activity_text(moved).alias("date_added"), activity_text(moved).alias("date_updated"), F.lit("").alias("read_at"), F.lit("").alias("started_at"), read.alias("is_read"),
+        (F.col("l_linenumber") % 6).cast("bigint").alias("rating"), F.lit("").alias("review_text_incomplete"), F.when(read, "read").otherwise("like").alias("interaction_type"))
+    return events.current(spark, f"{root}/events", stored).select("user_id", "book_id", "review_id", "interaction_type", "is_read", "rating")
 
 
 @query("i6_validated_events", f"SELECT event_type, count(*) AS events FROM fx_events WHERE {_VALID} GROUP BY 1")

@@ -71,8 +71,7 @@ def flagged(summary: DataFrame) -> DataFrame:
     hit = summary.where((F.col("mae_cv") > CV_MEDIUM) | (F.col("mae_range") > MAE_RANGE_LIMIT))
     return hit.withColumns({
         "severity": F.when(F.col("mae_cv") > CV_HIGH, "high").otherwise("medium"),
-        "recommendation": F.concat(F.lit("Significant performance disparity detected in "), "slice_dimension",
-                                   F.lit(". Consider bias mitigation.")),
+        "recommendation": F.concat("slice_dimension", F.lit(": the errors of its slices differ by more than the limit")),
     }).drop("rmse_cv", "rmse_range", "num_slices", "max_mae_slice", "min_mae_slice")
 
 
@@ -99,20 +98,19 @@ def recommendations(summary: DataFrame, flags: DataFrame, risks: DataFrame) -> D
     def severity_line(level: str, order: int, wording: str) -> DataFrame:
         names = F.collect_list(F.struct(dimension_rank(F.col("slice_dimension")).alias("o"), F.col("slice_dimension").alias("text")))
         found = flags.where(F.col("severity") == level).agg(F.count(F.lit(1)).alias("n"), _joined(names).alias("names"))
-        text = F.concat(F.lit(f"{level.upper()} PRIORITY: "), F.col("n").cast("string"), F.lit(f" dimensions show {wording}. Dimensions: "), "names")
+        text = F.concat(F.lit(f"{level.upper()} PRIORITY: "), F.col("n").cast("string"), F.lit(f" of the dimensions are {wording}: "), "names")
         return found.where(F.col("n") > 0).select(F.lit(order).alias("position"), F.lit("").alias("detail"), text.alias("recommendation"))
 
     worst = top_risks(risks).agg(F.count(F.lit(1)).alias("n"), _joined(F.collect_list(F.struct(
         (-F.col("mae_deviation_pct")).alias("o"), "slice", F.format_string("%s (MAE: %.3f)", "slice", "mae").alias("text")))).alias("names"))
     target = worst.where(F.col("n") > 0).select(
         F.lit(3).alias("position"), F.lit("").alias("detail"),
-        F.concat(F.lit("Target these high-error slices for mitigation: "), "names").alias("recommendation"))
+        F.concat(F.lit("Target these high-error slices: "), "names").alias("recommendation"))
     advice = summary.where(F.col("mae_cv") > CV_ADVICE).select(
         (F.lit(10) + dimension_rank(F.col("slice_dimension"))).cast("int").alias("position"), F.col("slice_dimension").alias("detail"),
-        F.concat("slice_dimension", F.lit(": Consider re-weighting training data or adjusting decision thresholds to balance performance across "),
-                 F.col("num_slices").cast("string"), F.lit(" groups")).alias("recommendation"))
-    lines = (severity_line("high", 1, "severe performance disparities")
-             .unionByName(severity_line("medium", 2, "moderate disparities")).unionByName(target).unionByName(advice))
+        F.concat("slice_dimension", F.lit(": even out the weights of its "), F.col("num_slices").cast("string"), F.lit(" slices in training")).alias("recommendation"))
+    lines = (severity_line("high", 1, "far over the limit")
+             .unionByName(severity_line("medium", 2, "over the limit")).unionByName(target).unionByName(advice))
     count = lines.agg(F.count(F.lit(1)).alias("n"))
     nothing = count.where(F.col("n") == 0).select(
         F.lit(99).alias("position"), F.lit("").alias("detail"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.functions.dates import activity_text, instant_text
+from foliospark.functions.dates import activity_text, activity_time, any_time, instant_text
 from foliospark.functions.labels import lookup
 from foliospark.operators.ordered import latest_by
 from foliospark.settings import EVENT_PRIORITY
@@ -76,7 +76,22 @@ def upsert_reads(target: DataFrame, source: DataFrame) -> DataFrame:
     return updated.unionByName(inserted)
 
 
+def from_event(interactions_type: Column, date_updated: Column) -> Column:
+    """Whether a row was made from an event: it has an event's type and the migration's date text."""
+    return interactions_type.isin(*EVENT_PRIORITY) & date_updated.isNotNull() & activity_time(date_updated).isNull() & date_updated.try_cast("timestamp").isNotNull()
+
+
+def resolve(rows: DataFrame) -> DataFrame:
+    """One row per (user, book). Rows made from events compete by priority, then time; the best of them replaces a stored interaction only if it
+    happened later. Times are compared as times: the table holds two kinds of date text.
+    """
+    keys = ["user_id", "book_id"]
+    event = from_event(F.col("interaction_type"), F.col("date_updated"))
+    timed = rows.select(*INTERACTION_COLUMNS, F.coalesce(any_time(F.col("date_updated")), F.lit("0001-01-01").cast("timestamp")).alias("_at"), F.coalesce(event, F.lit(False)).alias("_event"))
+    best = latest_by(timed, [*keys, "_event"], [F.when(F.col("_event"), priority(F.col("interaction_type"))).otherwise(0), F.col("_at")])
+    return latest_by(best, keys, [F.col("_at"), ~F.col("_event")]).select(*INTERACTION_COLUMNS)
+
+
 def merge_events(target: DataFrame, events: DataFrame) -> DataFrame:
-    """Add migrated events to the interaction table; a stronger or newer event of the same pair replaces the older one."""
-    both = target.select(*INTERACTION_COLUMNS).unionByName(to_interactions(events).select(*INTERACTION_COLUMNS))
-    return latest_by(both, ["user_id", "book_id"], [priority(F.col("interaction_type")), F.col("date_updated")])
+    """The interaction table with migrated events in it."""
+    return resolve(target.select(*INTERACTION_COLUMNS).unionByName(to_interactions(events).select(*INTERACTION_COLUMNS)))

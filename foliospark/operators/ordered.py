@@ -11,6 +11,7 @@ are the same in every branch of the plan and in every re-run of a lost task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,9 +19,8 @@ from pyspark.sql import functions as F
 
 from foliospark.sources.tables import stage
 
-SPLITS = 256
-SMALL = 5000  # up to this many rows in all, one window is cheaper than the parts
-_CHUNK = 16
+PART_ROWS = 65_536  # rows a part should hold
+LEAST_SPLITS = 16
 
 
 def _split_points(rows: DataFrame, keys: Sequence[str], value: str, splits: int) -> DataFrame:
@@ -30,17 +30,23 @@ def _split_points(rows: DataFrame, keys: Sequence[str], value: str, splits: int)
         F.max_by(F.col(value), F.xxhash64(F.col(value), F.lit(7))).alias("_point")
     )
     points = picked.groupBy(*keys).agg(F.sort_array(F.collect_set("_point")).alias("_points"))
-    n_chunks = F.ceil(F.size("_points") / _CHUNK).cast("int")
-    chunks = F.transform(F.sequence(F.lit(0), n_chunks - 1), lambda i: F.slice("_points", i * _CHUNK + 1, _CHUNK))
+    chunk = _chunk(splits)
+    n_chunks = F.ceil(F.size("_points") / chunk).cast("int")
+    chunks = F.transform(F.sequence(F.lit(0), n_chunks - 1), lambda i: F.slice("_points", i * chunk + 1, chunk))
     with_chunks = points.where(F.size("_points") > 0).select(*keys, chunks.alias("_chunks"))
     return with_chunks.select(*keys, "_chunks", F.transform("_chunks", lambda c: F.get(c, F.lit(0))).alias("_heads"))
 
 
-def _part_of(value: Column) -> Column:
+def _chunk(splits: int) -> int:
+    """As many points to a chunk as there are chunks, so a lookup reads twice the root of their number."""
+    return max(1, math.isqrt(splits))
+
+
+def _part_of(value: Column, splits: int) -> Column:
     """Number of split points at or below the value."""
     chunk = F.size(F.filter("_heads", lambda h: h <= value))
     inside = F.size(F.filter(F.get(F.col("_chunks"), chunk - 1), lambda p: p <= value))
-    return F.when(chunk == 0, F.lit(0)).otherwise((chunk - 1) * _CHUNK + inside)
+    return F.when(chunk == 0, F.lit(0)).otherwise((chunk - 1) * _chunk(splits) + inside)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -56,21 +62,18 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def running_totals(rows: DataFrame, keys: Sequence[str], value: str, weights: Sequence[str],
-                   splits: int = SPLITS) -> DataFrame:
+                   splits: int | None = None) -> DataFrame:
     """Add ``<weight>_before`` (sum over smaller values of the same key) and ``<weight>_total`` (sum over the key).
 
-    ``rows`` must hold each (key, value) once, with a non-NULL orderable value.
+    ``rows`` must hold each (key, value) once, with a non-NULL orderable value. The number of split points follows that of the rows unless it is given.
     """
     keys = list(keys)
     rows = stage(rows, "ordered")  # read up to four times below
     over_key = Window.partitionBy(*keys)
-    if rows.limit(SMALL + 1).count() <= SMALL:
-        ahead = over_key.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        return rows.withColumns({
-            **{f"{w}_before": F.coalesce(F.sum(w).over(ahead), F.lit(0)) for w in weights},
-            **{f"{w}_total": F.sum(w).over(over_key) for w in weights}})
+    if splits is None:
+        splits = max(LEAST_SPLITS, -(-rows.count() // PART_ROWS) * 2)
     placed = null_safe_join(rows, _split_points(rows, keys, value, splits), keys)
-    placed = placed.withColumn("_part", _part_of(F.col(value))).drop("_chunks", "_heads")
+    placed = placed.withColumn("_part", _part_of(F.col(value), splits)).drop("_chunks", "_heads")
 
     # At most `splits + 1` rows per key, so these windows stay small however large the key is.
     parts = placed.groupBy(*keys, "_part").agg(*[F.sum(w).alias(f"_sum_{w}") for w in weights])
@@ -88,7 +91,7 @@ def running_totals(rows: DataFrame, keys: Sequence[str], value: str, weights: Se
 
 
 def positions(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "position",
-              splits: int = SPLITS) -> DataFrame:
+              splits: int | None = None) -> DataFrame:
     """Number the rows 1, 2, ... per key in the given ascending order, which must be unique per key."""
     ordered = rows.withColumns({"_order": F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]), "_one": F.lit(1).cast("bigint")})
     out = running_totals(ordered, keys, "_order", ["_one"], splits)
@@ -96,7 +99,7 @@ def positions(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], nam
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column, probs: dict[str, float],
-                      method: str = "linear", splits: int = SPLITS) -> DataFrame:
+                      method: str = "linear", splits: int | None = None) -> DataFrame:
     """Exact percentiles per key, one column per entry of ``probs``.
 
     ``linear`` interpolates between the two neighbouring ranks; ``discrete`` takes the smallest value whose

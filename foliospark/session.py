@@ -27,21 +27,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, *folders: str, bytes_per_partition: int = 128 << 20) -> None:
-    """Raise the number of shuffle partitions to what the input size asks for; AQE merges those that turn out small.
-
-    The session's own setting is the floor, so small inputs keep it.
-    """
-    jvm, total = spark.sparkContext._jvm, 0
-    for folder in folders:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        total += fs.getContentSummary(path).getLength()
-    wanted = -(-total // bytes_per_partition)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-
-
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and benches."""
     builder = (

@@ -13,12 +13,6 @@ AS_OF = dt.date(2002, 1, 1)
 EVENTS_AS_OF = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal rows out over the cores when the files give fewer splits than there are cores; otherwise leave them."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     zoneless = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
@@ -65,7 +59,6 @@ def name_genders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_returnflag", "l_linestatus")
-    lines = spread(lines, "l_orderkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     shipped, ordered = activity_text(F.col("l_shipdate")), activity_text(F.col("o_orderdate"))
     line = F.col("l_linenumber")

@@ -1,62 +1,51 @@
-"""Continuous event ETL: validate, deduplicate and upsert into the interaction table."""
+"""Continuous event ETL: validate, append, and resolve against the interaction table when it is read."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from functools import reduce
 
-from foliospark.functions.numbers import split_bucket
-from foliospark.operators.etl import INTERACTION_COLUMNS, merge_events, strongest_events, to_interactions
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+
+from foliospark.operators.etl import INTERACTION_COLUMNS, resolve, strongest_events, to_interactions
 from foliospark.operators.quality import split_events
 from foliospark.sources import tables
 from foliospark.streaming import sinks
 
-BUCKETS = 64
 
+def append_sink(path: str, rejected: str):
+    """Write a micro-batch as a folder of its own: the strongest event per pair, in the shape of the interaction table; bad events go to ``rejected``.
+
+    The table is never rewritten, and a replayed batch overwrites its own folder.
+    """
+    good, bad = sinks.batch_folder(path), sinks.batch_folder(rejected)
 
-def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
-    """Bucket of the (user, book) pair, so that a hot user is spread over all buckets."""
-    return df.withColumn("bucket", split_bucket(F.concat_ws("/", "user_id", "book_id"), buckets).cast("int"))
+    def append(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.DISK_ONLY)  # read for the good and the bad rows
+        valid, other = split_events(batch)
+        bad(other, batch_id)
+        good(to_interactions(strongest_events(valid)).select(*INTERACTION_COLUMNS), batch_id)
+        batch.unpersist()
 
+    return append
 
-def upsert_sink(path: str, work: str, buckets: int = BUCKETS):
-    """Merge a micro-batch into the table at ``path``, rewriting only the buckets it touches.
 
-    ``buckets`` belongs to the table: choose it so that a bucket of the full-grown table is a few gigabytes.
+def ingest(stream: DataFrame, path: str, work: str) -> None:
+    """Append everything available in the event stream to the batches at ``path``."""
+    sinks.run(stream, f"{work}/checkpoint", append_sink(path, f"{work}/rejected"))
 
-    The merged buckets are staged first. A replay after a failure finds them and only repeats the swap, and merging the
-    same events twice changes nothing. One writer per table.
-    """
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        staged = f"{work}/staged/batch={batch_id}"
-        if not tables.exists(spark, f"{staged}/_SUCCESS"):
-            valid, rejected = split_events(batch)
-            rejected.write.mode("overwrite").parquet(f"{work}/rejected/batch={batch_id}")
-            new = strongest_events(valid)
-            if tables.exists(spark, path):
-                # At most ``buckets`` values: they prune the read of the table to the buckets that change.
-                touched = [r["bucket"] for r in _bucketed(to_interactions(new), buckets).select("bucket").distinct().collect()]
-                target = tables.read(spark, path).where(F.col("bucket").isin(touched)).select(*INTERACTION_COLUMNS)
-                merged = merge_events(target, new)
-            else:
-                empty = spark.createDataFrame([], _interaction_schema())
-                merged = merge_events(empty, new)
-            _bucketed(merged, buckets).write.mode("overwrite").parquet(staged)
-        swap = tables.writer(tables.read(spark, staged), "overwrite", ["bucket"])
-        swap.option("partitionOverwriteMode", "dynamic").parquet(path)
-
-    return merge
-
-
-def _interaction_schema() -> str:
-    types = {"book_id": "bigint", "is_read": "boolean", "rating": "bigint"}
-    return ", ".join(f"{c} {types.get(c, 'string')}" for c in INTERACTION_COLUMNS)
-
-
-def ingest(stream: DataFrame, path: str, work: str, buckets: int = BUCKETS) -> None:
-    """Run the event stream into the interaction table until everything available is in."""
-    sinks.run(stream, f"{work}/checkpoint", upsert_sink(path, work, buckets))
+
+def current(spark: SparkSession, path: str, stored: DataFrame | None = None) -> DataFrame:
+    """The interaction table: the stored interactions with all appended events resolved against them."""
+    events = tables.read(spark, path).select(*INTERACTION_COLUMNS)
+    return resolve(events if stored is None else stored.select(*INTERACTION_COLUMNS).unionByName(events))
+
+
+def compact(spark: SparkSession, paths: list[str], target: str, stored: DataFrame | None = None) -> DataFrame:
+    """Write the resolved table to a new place; the batches it holds can then be deleted. A separate job, run when batches have piled up."""
+    rows = [tables.read(spark, p).select(*INTERACTION_COLUMNS) for p in paths]
+    rows += [] if stored is None else [stored.select(*INTERACTION_COLUMNS)]
+    return tables.replace(resolve(reduce(DataFrame.unionByName, rows)), target)
 
 
 def unique_events(stream: DataFrame, delay: str = "1 hour") -> DataFrame:

@@ -208,7 +208,7 @@ def test_fairness_floor(spark):
     assert ranked["fair"]["recommendation"] == "SELECTED"
     assert ranked["fast"]["recommendation"].endswith("Below fairness threshold")
     t = selection.trade_offs(selection.select_model(scored)).first()
-    assert t["performance_sacrifice"] == pytest.approx(20.0) and t["fairness_gain"] == 40.0 and "accepts 20.0% higher MAE" in t["rationale"]
+    assert t["performance_sacrifice"] == pytest.approx(20.0) and t["fairness_gain"] == 40.0 and t["rationale"] == "fair: leads=fairness; fairness=high; open=medium; mae +20.0%, fairness +40.0"
 
 
 def test_without_a_fair_model_the_fairest_wins(spark):
@@ -239,9 +239,7 @@ def drift_reference(base, cur, bins=10):
     return ks, float(np.sum((c - b) * np.log(c / b))), abs(cur.mean() - base.mean()) / max(base.std(), 0.001)
 
 
-@pytest.mark.parametrize("small", [-1, 10**6])
-def test_drift_matches_numpy(spark, monkeypatch, small):
-    monkeypatch.setattr(ordered, "SMALL", small)
+def test_drift_matches_numpy(spark):
     rng = np.random.default_rng(4)
     base = {"x": rng.normal(0, 1, 900).round(2), "flat": np.full(900, 3.0), "same": rng.integers(0, 5, 900).astype(float)}
     cur = {"x": rng.normal(0.6, 1.4, 700).round(2), "flat": rng.choice([3.0, 3.2, 9.0], 700), "same": base["same"][:700]}

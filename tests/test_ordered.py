@@ -1,4 +1,4 @@
-"""Ranks, running totals and percentiles against brute force, with a hot group and on both code paths."""
+"""Ranks, running totals and percentiles against brute force, with a hot group."""
 
 import random
 
@@ -9,13 +9,6 @@ from pyspark.sql import functions as F
 from foliospark.operators import ordered
 
 
-@pytest.fixture(params=["parts", "small"])
-def path(request, monkeypatch):
-    """Force the distributed parts, or the single window for small inputs."""
-    monkeypatch.setattr(ordered, "SMALL", -1 if request.param == "parts" else 10**6)
-    return request.param
-
-
 @pytest.fixture(scope="module")
 def rows():
     rng = random.Random(5)
@@ -25,7 +18,7 @@ def rows():
 
 
 @pytest.mark.parametrize("splits", [1, 7, 64])
-def test_running_totals(spark, rows, path, splits):
+def test_running_totals(spark, rows, splits):
     counts = spark.createDataFrame(rows, "k string, v double").groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
     got = {(r["k"], r["v"]): (r["n_before"], r["n_total"]) for r in ordered.running_totals(counts, ["k"], "v", ["n"], splits).collect()}
     values = {}
@@ -36,7 +29,7 @@ def test_running_totals(spark, rows, path, splits):
 
 
 @pytest.mark.parametrize("method", ["linear", "discrete"])
-def test_percentiles_per_key(spark, rows, path, method):
+def test_percentiles_per_key(spark, rows, method):
     df = spark.createDataFrame([r for r in rows if r[0]], "k string, v double")
     probs = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p100": 1.0}
     got = {r["k"]: r for r in ordered.exact_percentiles(df, ["k"], F.col("v"), probs, method, splits=16).collect()}
@@ -50,18 +43,18 @@ def test_percentiles_per_key(spark, rows, path, method):
             assert got[k][name] == pytest.approx(want)
 
 
-def test_percentiles_of_whole_table(spark, path):
+def test_percentiles_of_whole_table(spark):
     df = spark.range(1, 10001).select(F.col("id").cast("double").alias("v"))
     got = ordered.exact_percentiles(df, [], F.col("v"), {"p80": 0.8}, "discrete").first()
     assert got["p80"] == 8000.0
 
 
-def test_percentiles_of_nothing(spark, path):
+def test_percentiles_of_nothing(spark):
     df = spark.createDataFrame([], "v double")
     assert ordered.exact_percentiles(df, [], F.col("v"), {"p50": 0.5}).first()["p50"] is None
 
 
-def test_positions_are_dense_and_follow_the_order(spark, path):
+def test_positions_are_dense_and_follow_the_order(spark):
     df = spark.range(2000).select("id", (F.col("id") * 7919 % 101).alias("score"))
     got = ordered.positions(df, [], [-F.col("score"), F.col("id")], splits=32).collect()
     want = sorted(((-r["score"], r["id"]) for r in got))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.labels import audit_slices
 from foliospark.operators import bias, etl, models, recommend
-from foliospark.session import size_shuffles, work_folder
+from foliospark.session import work_folder
 from foliospark.sources import adapters, files, histories, tables
 from foliospark.streaming import events as event_stream
 from foliospark.streaming import sinks
@@ -66,28 +66,31 @@ def test_work_folder_follows_the_session_setting(spark):
         work_folder(session(None, "spark://cluster"))
 
 
-def test_shuffle_partitions_grow_with_the_input(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        size_shuffles(spark, SF)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == before
-        size_shuffles(spark, SF, bytes_per_partition=4096)
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 100
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
 def test_replayed_batches_change_nothing(spark, tmp_path):
     """The same micro-batch twice, and again under a new id, leaves one row per pair."""
-    sink = event_stream.upsert_sink(str(tmp_path / "t"), str(tmp_path / "w"), buckets=4)
+    sink = event_stream.append_sink(str(tmp_path / "t"), str(tmp_path / "bad"))
     batch = adapters.events(spark, SF).where("event_id < 400")
     for batch_id in (0, 0, 1):
         sink(batch, batch_id)
     rest = adapters.events(spark, SF).where("event_id >= 400")
     sink(rest, 2)
-    got = tables.read(spark, str(tmp_path / "t")).drop("bucket")
     want = etl.migrate_events(adapters.events(spark, SF).where("event_type IN ('click', 'like', 'add_to_list')"))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    for got in (event_stream.current(spark, str(tmp_path / "t")), event_stream.compact(spark, [str(tmp_path / "t")], str(tmp_path / "whole"))):
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_events_against_stored_rows(spark):
+    """A stored read outlives an older click, a later event wins over text order, and events compete by strength first."""
+    columns = etl.INTERACTION_COLUMNS
+    row = lambda user, book, text, kind, rating: (user, book, "r", text, text, text, "", kind == "read", rating, "", kind)
+    stored = spark.createDataFrame([
+        row("a", 1, "Sat Nov 01 12:00:00 +0000 2025", "read", 5), row("b", 1, "Wed Dec 31 12:00:00 +0000 2025", "like", 4), row("c", 1, "2025-01-01 00:00:00.000000+00", "like", 0),
+        row("d", 1, None, "read", 3)], ", ".join(f"{c} {dict(book_id='bigint', is_read='boolean', rating='bigint').get(c, 'string')}" for c in columns))
+    events = spark.createDataFrame([("1", "a", "1", "click", "2020-05-05 00:00:00"), ("2", "b", "1", "like", "2026-06-01 00:00:00"), ("3", "c", "1", "click", "2026-01-01 00:00:00"),
+                                    ("4", "d", "1", "click", "2026-01-01 00:00:00"), ("5", "e", "x", "like", "2026-01-01 00:00:00")],
+                                   "event_id string, user_id string, book_id string, event_type string, t string").withColumn("event_timestamp", F.col("t").cast("timestamp"))
+    got = {r["user_id"]: (r["interaction_type"], r["is_read"], r["rating"]) for r in etl.merge_events(stored, events).collect()}
+    assert got == {"a": ("read", True, 5), "b": ("like", False, 0), "c": ("like", False, 0), "d": ("click", False, 0), "e": ("like", False, 0)}
 
 
 def test_batch_folder_overwrites_its_own_batch(spark, tmp_path):
