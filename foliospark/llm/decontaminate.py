@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -32,7 +32,8 @@ EDITS = 0.2
 LEAST_WORDS = 5
 WALKS, SAMPLES, BITS = 4, 8, 4
 BLOCK_ITEMS = 20_000
-SCAN_WORDS = 100_000
+SCAN_WORDS = 200_000
+LOOK_UP = 20_000
 _MASK = (1 << 22) - 1
 _CLEAN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -63,28 +64,33 @@ def edit_distance(a: list[int], b: list[int], most: int) -> int:
     return min(row[len(b)], most + 1)
 
 
-def embed(strings: np.ndarray, walk: int) -> np.ndarray:
-    """CGK embedding of rows of equal length: three steps per word; what follows the end is 0."""
-    n, length = strings.shape
+def embed(strings: np.ndarray, lengths: np.ndarray, walk: int) -> np.ndarray:
+    """The first two steps per word of a CGK embedding, which has three; later ones are mostly past the end. Rows are padded with 0."""
+    n, width = strings.shape
     padded = np.concatenate([strings, np.zeros((n, 1), dtype=strings.dtype)], axis=1).astype(np.uint32)
     at, rows = np.zeros(n, dtype=np.int64), np.arange(n)
-    out = np.zeros((n, 3 * length), dtype=np.uint32)
-    for j in range(3 * length):
+    out = np.zeros((n, 2 * width), dtype=np.uint32)
+    for j in range(2 * width):
         here = padded[rows, at]
         out[:, j] = here
         bit = ((here * np.uint32(0x9E3779B1) ^ np.uint32((j * 8 + walk) * 0x85EBCA77 & 0xFFFFFFFF)) * np.uint32(0xC2B2AE3D)) >> np.uint32(31)
-        at = np.minimum(at + bit.astype(np.int64), length)
+        at = np.minimum(at + bit, lengths)
     return out
 
 
-def keys(embedded: np.ndarray, walk: int) -> np.ndarray:
-    """A table key per row and sample: the words at a few sampled steps. Two thirds of the steps are used, where walks have seldom ended."""
-    steps = embedded.shape[1]
-    rng = np.random.default_rng([steps, walk])
+@cache
+def _steps(length: int, walk: int) -> list[list[int]]:
+    """The sampled steps of each table."""
+    rng = np.random.default_rng([length, walk])
+    return [rng.choice(2 * length, size=BITS, replace=False).tolist() for _ in range(SAMPLES)]
+
+
+def keys(embedded: np.ndarray, length: int, walk: int) -> np.ndarray:
+    """A table key per row and sample, for strings of one length: the words at a few sampled steps."""
     out = np.zeros((len(embedded), SAMPLES), dtype=np.uint64)
     for s in range(SAMPLES):
         key = np.full(len(embedded), s + 1, dtype=np.uint64)
-        for j in rng.choice(max(1, steps * 2 // 3), size=min(BITS, max(1, steps * 2 // 3)), replace=False):
+        for j in _steps(length, walk)[s]:
             key = (key ^ embedded[:, j]) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(29)
         out[:, s] = key
@@ -101,17 +107,22 @@ class Benchmark:
         self.ids, self.items = [i for i, _ in found], [[self.number.setdefault(x, len(self.number) + 1) for x in w] for _, w in found]
         self.pairs = np.zeros(_MASK + 1, dtype=bool)
         self.by_length: dict[int, list[int]] = {}
+        pairs_of: dict[int, list[np.ndarray]] = {}
         for k, item in enumerate(self.items):
             own = np.array(item, dtype=np.int64)
-            self.pairs[self._pair(own[:-1], own[1:])] = True
+            codes = self._pair(own[:-1], own[1:])
+            self.pairs[codes] = True
             self.by_length.setdefault(len(item), []).append(k)
+            pairs_of.setdefault(len(item), []).append(codes)
+        self.repeats = any((own[1:] == own[:-1]).any() for codes in pairs_of.values() for own in codes)
+        self.pairs_of = {n: np.unique(np.concatenate(codes)) for n, codes in pairs_of.items()}
         self.edits = {n: int(EDITS * n) for n in self.by_length}
         self.tables: dict[tuple[int, int], dict[int, list[int]]] = {}
         for n, own in self.by_length.items():
             strings = np.array([self.items[k] for k in own], dtype=np.uint32)
             for walk in range(WALKS):
                 table: dict[int, list[int]] = {}
-                for k, row in zip(own, keys(embed(strings, walk), walk).tolist()):
+                for k, row in zip(own, keys(embed(strings, np.full(len(own), n), walk), n, walk).tolist()):
                     for key in row:
                         table.setdefault(key, []).append(k)
                 self.tables[n, walk] = table
@@ -139,41 +150,63 @@ class Benchmark:
         gap = np.zeros(1, dtype=np.int64)
         run = np.concatenate([x for c in coded for x in (c, gap)])
         begin = np.cumsum([0] + [len(c) + 1 for c in coded])
-        pair = np.zeros(len(run), dtype=bool)
-        pair[:-1] = self.pairs[self._pair(run[:-1], run[1:])] & (run[:-1] > 0) & (run[1:] > 0)
-        upto = np.concatenate([[0], np.cumsum(pair)]).astype(np.int32)
-        best: list[dict[int, tuple]] = [{} for _ in coded]
+        code = self._pair(run[:-1], run[1:])
+        good = self.pairs[code] & (run[:-1] > 0) & (run[1:] > 0)
+        if not self.repeats:  # of a pair said over and over only one can be in a passage
+            good[1:] &= code[1:] != code[:-1]
+        shared = np.flatnonzero(good)
+        code = code[shared]
+
+        def counted(places: np.ndarray) -> np.ndarray:
+            """Pairs before each place."""
+            flag = np.zeros(len(run) + 1, dtype=np.int32)
+            flag[places + 1] = 1
+            return np.cumsum(flag, dtype=np.int32)
+
+        every = counted(shared)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for n, most in self.edits.items():
             if n > len(run):
                 continue
             need = max(1, n - 1 - 2 * most)
-            starts = np.flatnonzero(upto[n - 1:len(run)] - upto[:len(run) - n + 1] >= need)
+            starts = np.flatnonzero(every[n - 1:len(run)] - every[:len(run) - n + 1] >= need)
+            if not len(starts):
+                continue
+            own = counted(shared[np.isin(code, self.pairs_of[n])])  # the pairs of the items of this length
+            starts = starts[own[starts + n - 1] - own[starts] >= need]
             if not len(starts):
                 continue
             doc = np.searchsorted(begin, starts, side="right") - 1
             inside = starts + n <= begin[doc + 1] - 1
             starts, doc = starts[inside], doc[inside]
-            if len(starts):
-                self._look_up(run, starts, doc, begin, n, most, best)
+            found.append((starts, doc, np.full(len(starts), n)))
+        best: list[dict[int, tuple]] = [{} for _ in coded]
+        if found:
+            starts, doc, sizes = (np.concatenate(x) for x in zip(*found))
+            for part in range(0, len(starts), LOOK_UP):
+                self._look_up(run, starts[part:part + LOOK_UP], doc[part:part + LOOK_UP], sizes[part:part + LOOK_UP], begin, best)
         return [[(self.ids[k], start, n, edits) for k, (edits, start, n) in sorted(b.items())] for b in best]
 
-    def _look_up(self, run: np.ndarray, starts: np.ndarray, doc: np.ndarray, begin: np.ndarray, n: int, most: int, best: list[dict[int, tuple]]) -> None:
-        for part in range(0, len(starts), 20_000):
-            some, of = starts[part:part + 20_000], doc[part:part + 20_000]
-            strings = run[some[:, None] + np.arange(n)[None, :]]
-            met: set[tuple[int, int]] = set()
-            for walk in range(WALKS):
+    def _look_up(self, run: np.ndarray, starts: np.ndarray, doc: np.ndarray, sizes: np.ndarray, begin: np.ndarray, best: list[dict[int, tuple]]) -> None:
+        width = int(sizes.max(initial=0))
+        place = np.arange(width)[None, :]
+        strings = np.where(place < sizes[:, None], run[np.minimum(starts[:, None] + place, len(run) - 1)], 0)
+        groups = [(n, np.flatnonzero(sizes == n)) for n in np.unique(sizes).tolist()]
+        met: set[tuple[int, int]] = set()
+        for walk in range(WALKS):
+            embedded = embed(strings, sizes, walk)
+            for n, rows in groups:
                 table = self.tables[n, walk]
-                for row, own in enumerate(keys(embed(strings, walk), walk).tolist()):
+                for row, own in zip(rows.tolist(), keys(embedded[rows], n, walk).tolist()):
                     for key in own:
                         if key in table:
                             met.update((row, k) for k in table[key])
-            for row, k in sorted(met):
-                d, start = int(of[row]), int(some[row] - begin[of[row]])
-                known = best[d].get(k)
-                bound = most if known is None else min(most, known[0] - 1)
-                if bound >= 0 and (edits := edit_distance(strings[row].tolist(), self.items[k], bound)) <= bound:
-                    best[d][k] = (edits, start, n)
+        for row, k in sorted(met):
+            d, start, n = int(doc[row]), int(starts[row] - begin[doc[row]]), int(sizes[row])
+            known = best[d].get(k)
+            bound = self.edits[n] if known is None else min(self.edits[n], known[0] - 1)
+            if bound >= 0 and (edits := edit_distance(strings[row, :n].tolist(), self.items[k], bound)) <= bound:
+                best[d][k] = (edits, start, n)
 
 
 _INDEXES: dict[str, Benchmark] = {}
