@@ -42,54 +42,58 @@ def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit(101)).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def _placed(keys: Column, cells: Column, salt: Column) -> Column:
-    """Digests with their check and three cells."""
-    third = F.floor(cells / 3)
-    at = lambda k, i: F.lit(i) * third + F.pmod(F.xxhash64(k, salt, F.lit(i)), third)
-    return F.transform(keys, lambda k: F.struct(k.alias("k"), _check(k).alias("h"), at(k, 0).alias("a"), at(k, 1).alias("b"), at(k, 2).alias("c")))
-
-
 def _cell(n: Column, k: Column, h: Column) -> Column:
     return F.struct(n.cast("int").alias("n"), k.cast("bigint").alias("k"), h.cast("bigint").alias("h"))
 
 
-def _in(x: Column, j: Column) -> Column:
-    return (x["a"] == j) | (x["b"] == j) | (x["c"] == j)
+def _places(key: Column, third: Column, salt: Column) -> list[Column]:
+    """The cell of a digest in each third, from 0."""
+    return [F.pmod(F.xxhash64(key, salt, F.lit(i)), third).cast("int").alias(name) for i, name in enumerate("abc")]
+
 
+def _put(thirds: Column, x: Column, sign: Column, third: Column) -> Column:
+    """Add or take a digest: one cell of each third is replaced."""
+    def one(name: str) -> Column:
+        cells, at = thirds[name], x[name]
+        old = F.get(cells, at)
+        new = _cell(old["n"] + sign, old["k"].bitwiseXOR(x["k"]), old["h"].bitwiseXOR(x["h"]))
+        return F.concat(F.slice(cells, F.lit(1), at), F.array(new), F.slice(cells, at + 2, third)).alias(name)
 
-def sketch(keys: Column, cells: Column, salt: Column) -> Column:
-    """The cells of a set of digests."""
-    empty = _cell(F.lit(0), F.lit(0), F.lit(0))
-    return let(_placed(keys, cells, salt), lambda placed: F.transform(
-        F.sequence(F.lit(0).cast("bigint"), cells - 1),
-        lambda j: F.aggregate(F.filter(placed, lambda x: _in(x, j)), empty, lambda s, x: _cell(s["n"] + 1, s["k"].bitwiseXOR(x["k"]), s["h"].bitwiseXOR(x["h"])))))
+    return F.struct(*[one(name) for name in "abc"])
 
 
-def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: _cell(x["n"] - y["n"], x["k"].bitwiseXOR(y["k"]), x["h"].bitwiseXOR(y["h"])))
+def sketch(keys: Column, third: Column, salt: Column) -> Column:
+    """A set of digests as three thirds of cells."""
+    none = F.array_repeat(_cell(F.lit(0), F.lit(0), F.lit(0)), third)
+    placed = F.transform(keys, lambda k: F.struct(k.alias("k"), _check(k).alias("h"), *_places(k, third, salt)))
+    return F.aggregate(placed, F.struct(*[none.alias(x) for x in "abc"]), lambda s, x: _put(s, x, F.lit(1), third))
 
 
-def peel(difference: Column, cells: Column, salt: Column) -> Column:
-    """(only_a, only_b): the digests on one side only, or null if the sketch is too small for them."""
-    third = F.floor(cells / 3)
-    at = lambda k, i: F.lit(i) * third + F.pmod(F.xxhash64(k, salt, F.lit(i)), third)
+def subtract(one: Column, other: Column) -> Column:
+    cells = lambda a, b: F.zip_with(a, b, lambda x, y: _cell(x["n"] - y["n"], x["k"].bitwiseXOR(y["k"]), x["h"].bitwiseXOR(y["h"])))
+    return F.struct(*[cells(one[x], other[x]).alias(x) for x in "abc"])
 
-    def pure(state: Column) -> Column:
-        single = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (_check(c["k"]) == c["h"]))
-        return F.transform(F.array_distinct(F.transform(single, lambda c: F.struct(c["n"].alias("n"), c["k"].alias("k"), c["h"].alias("h")))),
-                           lambda p: F.struct(p["n"].alias("n"), p["k"].alias("k"), p["h"].alias("h"), at(p["k"], 0).alias("a"), at(p["k"], 1).alias("b"), at(p["k"], 2).alias("c")))
+
+def peel(difference: Column, third: Column, salt: Column) -> Column:
+    """(only_a, only_b): the digests on one side only, or null if the sketch is too small for them.
+
+    A round takes every digest that stands alone in a cell out of its three cells; the last round finds none.
+    """
+    def alone(thirds: Column) -> Column:
+        cells = F.filter(F.concat(thirds["a"], thirds["b"], thirds["c"]), lambda c: (F.abs(c["n"]) == 1) & (_check(c["k"]) == c["h"]))
+        return F.transform(F.array_distinct(cells), lambda c: F.struct(c["n"].alias("n"), c["k"].alias("k"), c["h"].alias("h"), *_places(c["k"], third, salt)))
 
     def take(state: Column, out: Column) -> Column:
-        left = F.transform(state["cells"], lambda c, j: F.aggregate(
-            F.filter(out, lambda p: _in(p, j.cast("bigint"))), c, lambda s, p: _cell(s["n"] - p["n"], s["k"].bitwiseXOR(p["k"]), s["h"].bitwiseXOR(p["h"]))))
-        side = lambda n: F.transform(F.filter(out, lambda p: p["n"] == n), lambda p: p["k"])
-        return F.struct(left.alias("cells"), F.concat(state["a"], side(1)).alias("a"), F.concat(state["b"], side(-1)).alias("b"))
+        left = F.aggregate(out, state["cells"], lambda s, x: _put(s, x, -x["n"], third))
+        return F.struct(left.alias("cells"), F.concat(state["out"], F.transform(out, lambda x: F.struct(x["n"].alias("n"), x["k"].alias("k")))).alias("out"), (F.size(out) == 0).alias("done"))
 
-    none = F.array().cast("array<bigint>")
-    start = F.struct(difference.alias("cells"), none.alias("a"), none.alias("b"))
-    done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, lambda state, _: let(pure(state), lambda out: F.when(F.size(out) == 0, state).otherwise(take(state, out))))
-    clean = lambda s: ~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["k"] != 0))
-    return let(done, lambda s: F.when(clean(s), F.struct(s["a"].alias("only_a"), s["b"].alias("only_b"))))
+    none = F.array().cast("array<struct<n:int,k:bigint>>")
+    start = F.struct(difference.alias("cells"), none.alias("out"), F.lit(False).alias("done"))
+    rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
+    end = F.aggregate(rounds, start, lambda state, _: F.when(state["done"], state).otherwise(let(alone(state["cells"]), lambda out: take(state, out))))
+    some = lambda cells: F.exists(cells, lambda c: (c["n"] != 0) | (c["k"] != 0))
+    side = lambda s, n: F.transform(F.filter(s["out"], lambda x: x["n"] == n), lambda x: x["k"])
+    return let(end, lambda s: F.when(~(some(s["cells"]["a"]) | some(s["cells"]["b"]) | some(s["cells"]["c"])), F.struct(side(s, 1).alias("only_a"), side(s, -1).alias("only_b"))))
 
 
 def _blocks(a: Column, b: Column) -> Column:
@@ -101,7 +105,7 @@ def _blocks(a: Column, b: Column) -> Column:
         own = lambda keys: F.filter(keys, lambda k: F.pmod(F.xxhash64(k, F.lit(77)), n) == i)
         return let(F.struct(own(a).alias("a"), own(b).alias("b")), lambda s: F.aggregate(
             F.sequence(F.lit(0), F.lit(TRIES)), F.lit(None).cast(kind), lambda found, t: F.coalesce(found, let(
-                F.call_function("shiftleft", F.lit(BLOCK_CELLS).cast("bigint"), t), lambda m: peel(subtract(sketch(s["a"], m, t + 1), sketch(s["b"], m, t + 1)), m, t + 1).cast(kind)))))
+                F.call_function("shiftleft", F.lit(BLOCK_CELLS // 3), t), lambda m: peel(subtract(sketch(s["a"], m, t + 1), sketch(s["b"], m, t + 1)), m, t + 1).cast(kind)))))
 
     parts = let(count, lambda n: F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: block(i, n)))
     return let(parts, lambda p: F.struct(F.flatten(F.transform(p, lambda x: x["only_a"])).alias("only_a"), F.flatten(F.transform(p, lambda x: x["only_b"])).alias("only_b")))
@@ -109,8 +113,7 @@ def _blocks(a: Column, b: Column) -> Column:
 
 def differing(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
     """The digests only one side has, from the two fingerprints or else from larger sketches."""
-    size, salt = F.lit(CELLS).cast("bigint"), F.lit(0)
-    return F.coalesce(peel(subtract(sketch_a, sketch_b), size, salt), _blocks(a, b))
+    return F.coalesce(peel(subtract(sketch_a, sketch_b), F.lit(CELLS // 3), F.lit(0)), _blocks(a, b))
 
 
 def likeness(n_a: Column, difference: Column) -> Column:
@@ -120,13 +123,13 @@ def likeness(n_a: Column, difference: Column) -> Column:
 
 
 def fingerprint(keys: Column) -> Column:
-    return sketch(keys, F.lit(CELLS).cast("bigint"), F.lit(0))
+    return sketch(keys, F.lit(CELLS // 3), F.lit(0))
 
 
 def written_out(cells: Column) -> Column:
     """The cells as hex: count, digests and checks of each."""
     two = lambda c, n: F.lower(F.lpad(F.hex(c), n, "0"))
-    return F.array_join(F.transform(cells, lambda c: F.concat(two(c["n"].cast("bigint"), 4), two(c["k"], 16), two(c["h"], 8))), "")
+    return F.array_join(F.transform(F.concat(cells["a"], cells["b"], cells["c"]), lambda c: F.concat(two(c["n"].cast("bigint"), 4), two(c["k"], 16), two(c["h"], 8))), "")
 
 
 def successors(ids: DataFrame, levels: int = 4) -> DataFrame:
