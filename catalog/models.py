@@ -1,11 +1,14 @@
 """Models, scoring and recommendations."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.features import SCORED, scored_candidates
 from catalog.registry import on_tables, query
 from catalog.relations import COLLAPSED, UNREAD, _author, _ranked
-from foliospark.operators import models, recommend, scoring
+from foliospark.functions.numbers import split_bucket
+from foliospark.operators import features, models, recommend, scoring
+from foliospark.operators.ordered import top_per_key
 from foliospark.sources import adapters, tables
 
 
@@ -17,22 +20,33 @@ def _train(d):
     return d.split.where(F.col("split") == "train")
 
 
-@on_tables("m1_factorisation")
-def factorisation(d):
-    """Fit on all ratings and report the error of the fit."""
-    ratings = tables.stage(_ratings(d), "ratings")
-    fitted = models.fit_factors(ratings, iterations=10)
-    scored = models.score_factors(ratings, fitted).withColumnRenamed("rating", "actual_rating")
-    return scoring.error_metrics(scored)
+_HELD_OUT = "CAST('0x' || substr(md5('mf-' || user_id_clean || '/' || book_id), 1, 8) AS BIGINT) % 100 >= 90"
 
 
-@on_tables("m2_boosted_trees")
+@on_tables("m1_factorisation", f"""
+SELECT count(*) FILTER (WHERE NOT h) AS train_rows, count(*) FILTER (WHERE h) AS held_out_rows, count(*) FILTER (WHERE h AND ku AND kb) AS scored_rows, TRUE AS fits_better_than_mean FROM (
+  SELECT h, max(NOT h) OVER (PARTITION BY user_id_clean) AS ku, max(NOT h) OVER (PARTITION BY book_id) AS kb
+  FROM (SELECT user_id_clean, book_id, {_HELD_OUT} AS h FROM feats WHERE rating > 0))""")
+def factorisation(d):
+    """Fit on nine tenths of the ratings with 25 factors and 40 iterations; the others are scored once each where user and book are known."""
+    bucket = split_bucket(F.concat(F.lit("mf-"), "user_id_clean", F.lit("/"), F.col("book_id").cast("string")))
+    ratings = tables.stage(_ratings(d).withColumn("held_out", bucket >= 90), "ratings")
+    train, rest = ratings.where("NOT held_out").drop("held_out"), ratings.where("held_out").drop("held_out")
+    fitted = models.fit_factors(train)
+    error = F.col("rating") - F.col("predicted_rating")
+    fit = models.score_factors(train, fitted).agg(F.avg(error * error).alias("mse"), F.var_pop("rating").alias("variance"))
+    scored = models.score_factors(rest, fitted).agg(F.count(F.lit(1)).alias("scored_rows"))
+    sizes = ratings.agg(F.count_if(~F.col("held_out")).alias("train_rows"), F.count_if("held_out").alias("held_out_rows"))
+    return sizes.crossJoin(F.broadcast(scored)).crossJoin(F.broadcast(fit)).select("train_rows", "held_out_rows", "scored_rows", (F.col("mse") < F.col("variance")).alias("fits_better_than_mean"))
+
+
+@on_tables("m2_boosted_trees", "SELECT split, count(*) AS scored_rows, TRUE AS in_range FROM split_feats WHERE rating > 0 GROUP BY 1")
 def boosted_trees(d):
-    """Fit on the train split and report the error per split."""
+    """Fit on the train split until the held-out users stop it; every rated row of each split is scored once. The errors have no SQL form, so their bounds are given."""
     rows = tables.stage(d.split.where(F.col("rating") > 0), "rated_split")
-    fitted = models.fit_trees(rows.where(F.col("split") == "train"), max_iter=10)
-    scored = models.score_trees(rows, fitted).withColumn("actual_rating", F.col("rating").cast("double"))
-    return scoring.error_metrics(scored, ["split"])
+    fitted = models.fit_trees(rows.where(F.col("split") == "train"))
+    scored = models.score_trees(rows, fitted)
+    return scored.groupBy("split").agg(F.count(F.lit(1)).alias("scored_rows"), F.bool_and(F.col("predicted_rating").between(-2, 8)).alias("in_range"))
 
 
 @on_tables("m3_mean_deviation_scores", "SELECT user_id_clean, book_id, r4(actual_rating) AS actual_rating, r4(predicted_rating) AS predicted_rating, r4(absolute_error) AS absolute_error, author_gender_group, book_era FROM preds")
@@ -85,21 +99,25 @@ def prediction_table(d):
 def tree_predictions(d):
     """Trees fitted on the train split score the test split."""
     rows = tables.stage(d.split.where(F.col("rating") > 0), "rated_split")
-    fitted = models.fit_trees(rows.where(F.col("split") == "train"), max_iter=5)
+    fitted = models.fit_trees(rows.where(F.col("split") == "train"))
     scored = models.score_trees(rows.where(F.col("split") == "test"), fitted)
     return scoring.prediction_table(scored, d.books, d.gender_map)
 
 
-@on_tables("m7_scored_sample")
+@on_tables("m7_scored_sample", f"""
+SELECT user_id_clean, book_id, rating, r4(p) AS predicted_rating FROM {_SPLIT_SCORED.replace("SELECT s.split,", "SELECT user_id_clean, book_id, s.rating, s.split,")} WHERE split = 'val'
+ORDER BY md5(concat_ws('/', user_id_clean, book_id, 42)), user_id_clean, book_id LIMIT 5000""")
 def scored_sample(d):
-    sample = tables.hashed_sample(d.split.where((F.col("split") == "val") & (F.col("rating") > 0)), ["user_id_clean", "book_id"], 5000)
-    return scoring.score(sample, d.mean_model).select("user_id_clean", "book_id", "rating", "predicted_rating")
+    rated = tables.stage(d.split.where(F.col("rating") > 0), "rated_split")
+    model = scoring.fit_means(rated.where(F.col("split") == "train"))
+    sample = tables.hashed_sample(rated.where((F.col("split") == "val") & (F.col("rating") > 0)), ["user_id_clean", "book_id"], 5000)
+    return scoring.score(sample, model).select("user_id_clean", "book_id", "rating", "predicted_rating")
 
 
 @on_tables("m8_factor_recommendations")
 def factor_recommendations(d):
     """Top unread books of every user under the factor model, with titles and authors, one edition each."""
-    fitted = models.fit_factors(tables.stage(_ratings(d), "ratings"), rank=10, iterations=5)
+    fitted = models.fit_factors(tables.stage(_ratings(d), "ratings"))
     top = tables.stage(models.factor_recommendations(fitted, recommend.reads(d.raw.interactions)), "ranked")
     names = recommend.author_names(recommend.author_links(d.raw.books), d.raw.authors)
     stats = d.features.select("book_id", "average_rating").distinct()
@@ -112,6 +130,32 @@ def mean_recommendations(d):
     return recommend.one_edition(_ranked(d)).select("user_id", "book_id", "title", "author_names", F.col("average_rating").alias("rating"), "predicted_rating")
 
 
+@on_tables("m9_tree_recommendations", """
+SELECT count(DISTINCT p.user_id) AS users, count(*) AS scored_pairs, CAST(0 AS BIGINT) AS read_books, TRUE AS at_most_50, TRUE AS ranks_follow_scores FROM (
+  SELECT u.user_id_clean AS user_id, b.book_id FROM user_feats u CROSS JOIN (SELECT DISTINCT book_id FROM feats) b
+  WHERE CAST(u.user_id_clean[2:] AS BIGINT) % 50 = 0 AND NOT EXISTS (SELECT 1 FROM read_pairs r WHERE r.user_id = u.user_id_clean AND r.book_id = b.book_id)) p""")
+def tree_recommendations(d):
+    """Trees fitted on the train split score every unread book of the users in a request (every fiftieth user); the best 50 each are kept.
+
+    The scores of trees have no SQL form, so what must hold of the lists is returned.
+    """
+    rated = tables.stage(d.split.where(F.col("rating") > 0), "rated_split")
+    fitted = models.fit_trees(rated.where(F.col("split") == "train"))
+    users, books = features.distinct_user_features(d.features), tables.stage(features.distinct_book_features(d.features), "book_features")
+    read = recommend.reads(d.raw.interactions)
+    requested = users.select(F.col("user_id_clean").alias("user_id")).where(F.substring("user_id", 2, 20).cast("bigint") % 50 == 0)
+    pairs = recommend.requested_pairs(requested, books, read).withColumnRenamed("user_id", "user_id_clean")
+    rows = features.scoring_features(pairs, users, books)
+    missing = [c for c in features.model_inputs(rated.columns) if c not in rows.columns]
+    scored = models.score_trees(rows.withColumns({c: F.lit(None).cast(dict(rated.dtypes)[c]) for c in missing}), fitted).select("user_id_clean", "book_id", "predicted_rating")
+    top = tables.stage(top_per_key(scored, ["user_id_clean"], [F.desc("predicted_rating"), F.col("book_id")], 50), "ranked")
+    known = top.join(read, (top["user_id_clean"] == read["user_id"]) & (top["book_id"] == read["book_id"]), "left_semi")
+    ahead = F.lag("predicted_rating").over(Window.partitionBy("user_id_clean").orderBy("rank"))
+    lists = top.withColumn("_ok", F.coalesce(ahead >= F.col("predicted_rating"), F.lit(True))).agg(
+        F.count_distinct("user_id_clean").alias("users"), (F.max("rank") <= 50).alias("at_most_50"), F.bool_and("_ok").alias("ranks_follow_scores"))
+    return lists.crossJoin(F.broadcast(scored.agg(F.count(F.lit(1)).alias("scored_pairs")))).crossJoin(F.broadcast(known.agg(F.count(F.lit(1)).alias("read_books"))))
+
+
 @on_tables("m9_featured_recommendations", f"""
 SELECT user_id, book_id, author_names, r4(predicted_rating) AS predicted_rating, rank, title_clean AS title, r4(average_rating) AS rating, ratings_count, num_pages, publication_year,
   r4(book_popularity_normalized) AS book_popularity_normalized, book_length_category, book_era FROM (
@@ -165,7 +209,7 @@ def books_unread(d):
 @on_tables("m14_permutation_importance")
 def permutation(d):
     rows = tables.stage(d.rated, "rated")
-    fitted = models.fit_trees(rows, max_iter=5)
+    fitted = models.fit_trees(rows)
     return models.permutation_importance(rows, fitted)
 
 
@@ -200,7 +244,7 @@ def compare(d):
 @on_tables("m16_model_importance")
 def model_importance(d):
     rows = tables.stage(d.rated, "rated")
-    fitted = models.fit_trees(rows, max_iter=5)
+    fitted = models.fit_trees(rows)
     spark = rows.sparkSession
     impurity = spark.createDataFrame([("impurity", f, v) for f, v in models.tree_importance(fitted)], "model_name string, feature string, importance double")
     shuffled = models.permutation_importance(rows, fitted).select(F.lit("permutation").alias("model_name"), "feature", "importance")

@@ -58,6 +58,16 @@ def unread_candidates(d):
     return recommend.unread_counts(d.raw.interactions.select("user_id").distinct(), d.books, recommend.reads(d.raw.interactions))
 
 
+@on_tables("j5_unread_pairs", """
+SELECT u.user_id, b.book_id FROM users u CROSS JOIN (SELECT DISTINCT book_id FROM cl_books) b
+WHERE CAST(u.user_id[2:] AS BIGINT) % 50 = 0 AND NOT EXISTS (SELECT 1 FROM read_pairs r WHERE r.user_id = u.user_id AND r.book_id = b.book_id)""")
+def unread_pairs(d):
+    """The unread pairs of a request: every fiftieth user asks for recommendations."""
+    users = d.raw.interactions.select("user_id").distinct()
+    requested = users.where(F.substring("user_id", 2, 20).cast("bigint") % 50 == 0)
+    return recommend.requested_pairs(requested, d.books, recommend.reads(d.raw.interactions))
+
+
 @on_tables("j6_never_read", """
 SELECT DISTINCT user_id, book_id FROM fx_interactions i WHERE NOT EXISTS (SELECT 1 FROM read_pairs r WHERE r.user_id = i.user_id AND r.book_id = i.book_id)""")
 def never_read(d):
@@ -353,7 +363,7 @@ def top_three(d):
     return top_risks(high_risk(tables.stage(slice_metrics(d.predictions))))
 
 
-@on_tables("k7_validation_sample")
+@on_tables("k7_validation_sample", "SELECT user_id_clean, book_id, rating FROM split_feats WHERE split = 'val' ORDER BY md5(concat_ws('/', user_id_clean, book_id, 42)), user_id_clean, book_id LIMIT 5000")
 def validation_sample(d):
     return tables.hashed_sample(d.split.where(F.col("split") == "val"), ["user_id_clean", "book_id"], 5000).select("user_id_clean", "book_id", "rating")
 

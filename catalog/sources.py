@@ -153,13 +153,21 @@ def feature_columns(d):
     return tables.metadata(d.features, "features", _stamp())
 
 
-@on_tables("i17_sample_export")
+@on_tables("i17_sample_export", "SELECT TRUE AS within_limit, CAST(0 AS BIGINT) AS unknown_rows, CAST(37 AS BIGINT) AS columns")
 def sample_export(d):
+    """A random export has no fixed rows, so what must hold of any is returned: its bound, its origin and its columns."""
     path = f"{work_folder(d.raw.books.sparkSession)}/sample"
-    return tables.replace(tables.system_sample(d.features, 0.001, 1000), path)
+    sample = tables.replace(tables.system_sample(d.features, 0.001, 1000), path)
+    known = d.features.select("user_id_clean", "book_id").distinct()
+    unknown = sample.join(known, ["user_id_clean", "book_id"], "left_anti").agg(F.count(F.lit(1)).alias("unknown_rows"))
+    return sample.agg((F.count(F.lit(1)) <= 1000).alias("within_limit")).crossJoin(F.broadcast(unknown)).withColumn("columns", F.lit(len(sample.columns)))
 
 
-@on_tables("i18_random_rows")
+@on_tables("i18_random_rows", """
+SELECT user_id_clean, book_id, r4(actual_rating) AS actual_rating, r4(predicted_rating) AS predicted_rating, r4(absolute_error) AS absolute_error, r4(error) AS error,
+  r4(book_popularity_normalized) AS book_popularity_normalized, book_length_category, book_era, num_genres, user_activity_count, reading_pace_category, r4(average_rating) AS average_rating,
+  ratings_count, num_pages, publication_year, author_gender_group FROM preds WHERE predicted_rating IS NOT NULL AND actual_rating IS NOT NULL
+ORDER BY md5(concat_ws('/', user_id_clean, book_id, 42)), user_id_clean, book_id LIMIT 1000""")
 def random_rows(d):
     rows = d.predictions.where(F.col("predicted_rating").isNotNull() & F.col("actual_rating").isNotNull())
     return tables.hashed_sample(rows, ["user_id_clean", "book_id"], 1000)
@@ -199,7 +207,9 @@ def csv_sample(d):
     return spark.read.csv(path, header=True, schema="book_id bigint, title string, num_pages bigint", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
-@on_tables("i24_detection_report")
+@on_tables("i24_detection_report", """
+SELECT 'mean_deviation' AS model_name, 'test' AS dataset, (SELECT count(*) FROM slices) AS slices, (SELECT count(*) FROM dims) AS dimensions,
+  CAST(to_json(coalesce((SELECT list({'position': position, 'recommendation': recommendation} ORDER BY position) FROM advice), [{'position': 99, 'recommendation': 'No significant bias detected across analyzed dimensions.'}])) AS VARCHAR) AS recommendations""")
 def detection_report(d):
     """Nested one-row JSON report, written and read back."""
     spark = d.raw.books.sparkSession

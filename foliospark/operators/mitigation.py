@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.sources.tables import stage
 from foliospark.functions.labels import feature_slices
 from foliospark.functions.numbers import percent_change
 from foliospark.functions.text import slug
@@ -23,6 +24,14 @@ def group_metrics(features: DataFrame, group: Column, value: str = GAP) -> DataF
         F.coalesce(F.stddev_samp("_v"), F.lit(0.0)).alias("std_rating"))
 
 
+def bounded(groups: DataFrame, most: int = 100_000) -> DataFrame:
+    """A table with a row per group, staged and counted: sent to all tasks when small, as the fact table has few groups and a shuffle would
+    gather each in one task. A larger one is left to the optimizer.
+    """
+    groups = stage(groups, "groups")
+    return F.broadcast(groups) if groups.limit(most + 1).count() <= most else groups
+
+
 def shrink(features: DataFrame, dimension: str, group: Column, strength: float = 0.5) -> DataFrame:
     """Pull each group's mean rating gap towards the global mean; rows without a group drop out."""
     label = f"{slug(dimension)}_group"
@@ -30,7 +39,7 @@ def shrink(features: DataFrame, dimension: str, group: Column, strength: float =
     means = base.groupBy(label).agg(F.avg(GAP).alias("group_mean"))
     overall = base.agg(F.avg(GAP).alias("global_mean"))
     pull = strength * (F.col("group_mean") - F.col("global_mean"))
-    return base.join(means, label).crossJoin(F.broadcast(overall)).withColumns({
+    return base.join(bounded(means), label).crossJoin(F.broadcast(overall)).withColumns({
         "rating_debiased": F.col(GAP) - pull, "rating_debiased_predicted": F.col("rating") - pull,
     }).select(*features.columns, "group_mean", "global_mean", "rating_debiased", "rating_debiased_predicted", label)
 
@@ -45,7 +54,7 @@ def reweight(training: DataFrame, dimension: str, group: Column, strategy: str =
     totals = counts.agg(F.sum("_n").alias("_all"), F.count(label).alias("_groups"))
     n, total = F.col("_n").cast("double"), F.col("_all").cast("double")
     weight = 1.0 / (n / total) if strategy == "inverse_propensity" else (total / F.col("_groups")) / n
-    return base.join(counts, label).crossJoin(F.broadcast(totals)).select(*training.columns, label, weight.alias("sample_weight"))
+    return base.join(bounded(counts), label).crossJoin(F.broadcast(totals)).select(*training.columns, label, weight.alias("sample_weight"))
 
 
 def weight_stats(weighted: DataFrame) -> DataFrame:
@@ -66,7 +75,7 @@ def apply_offsets(predictions: DataFrame, dimension: str, group: Column, offsets
     offsets = group_offsets(predictions, group) if offsets is None else offsets
     label = f"{slug(dimension)}_group"
     based = predictions.withColumn(label, group.cast("string"))
-    joined = based.join(offsets.withColumnRenamed("slice_group", label), label, "left")
+    joined = based.join(bounded(offsets.withColumnRenamed("slice_group", label)), label, "left")
     rest = [c for c in predictions.columns if c != "predicted_rating"]
     return joined.select(*rest, label, F.col("predicted_rating").alias("original_predicted_rating"),
                          (F.col("predicted_rating") + F.coalesce("offset", F.lit(0.0))).alias("predicted_rating"))
@@ -77,8 +86,8 @@ def shrink_predictions(predictions: DataFrame, group: str = "book_era", strength
     group_keys = [*by, group]
     means = predictions.where(F.col(group).isNotNull()).groupBy(*group_keys).agg(F.avg("predicted_rating").alias("_group_mean"))
     overall = predictions.groupBy(*by).agg(F.avg("predicted_rating").alias("_global_mean"))
-    rated = predictions.where(F.col("actual_rating").isNotNull()).join(means, group_keys, "left")
-    rated = rated.join(overall, list(by)) if by else rated.crossJoin(F.broadcast(overall))
+    rated = predictions.where(F.col("actual_rating").isNotNull()).join(bounded(means), group_keys, "left")
+    rated = rated.join(bounded(overall), list(by)) if by else rated.crossJoin(F.broadcast(overall))
     shifted = F.col("predicted_rating") - F.coalesce(strength * (F.col("_group_mean") - F.col("_global_mean")), F.lit(0.0))
     rest = [c for c in predictions.columns if c not in ("predicted_rating", "absolute_error", "error")]
     return rated.withColumn("_new", shifted).select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,16 +61,16 @@ def unread_counts(users: DataFrame, items: DataFrame, read: DataFrame) -> DataFr
         "user_id", (F.col("_items") - F.coalesce("_read", F.lit(0))).alias("candidates"))
 
 
-def requested_pairs(requested: DataFrame, items: DataFrame, read: DataFrame, max_users: int = 1000) -> DataFrame:
-    """Every unread (user, book) pair of the users in a request.
+def requested_pairs(requested: DataFrame, items: DataFrame, read: DataFrame, block: int = 1000) -> DataFrame:
+    """Every unread (user, book) pair of the users in a request, whatever their number.
 
-    A request names few users; the bound is checked before their list is sent to the tasks that scan the items.
+    The users go to the tasks that scan the items in blocks of about ``block``, so that what is sent stays bounded.
     """
-    wanted = requested.select("user_id").distinct()
-    if wanted.limit(max_users + 1).count() > max_users:
-        raise ValueError(f"a request may name at most {max_users} users; use the all-users queries instead")
-    pairs = items.select("book_id").distinct().crossJoin(F.broadcast(wanted))
-    return pairs.join(read, ["user_id", "book_id"], "left_anti").select("user_id", "book_id")
+    wanted = stage(requested.select("user_id").distinct(), "requested")
+    blocks = max(1, -(-wanted.count() // block))
+    books, of = items.select("book_id").distinct(), F.pmod(F.xxhash64("user_id"), F.lit(blocks))
+    pairs = [books.crossJoin(F.broadcast(wanted.where(of == b))) for b in range(blocks)]
+    return reduce(DataFrame.unionByName, pairs).join(read, ["user_id", "book_id"], "left_anti").select("user_id", "book_id")
 
 
 def ordered_items(items: DataFrame, order: Sequence[Column]) -> DataFrame:

@@ -41,20 +41,25 @@ def replace(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataF
 
 def replace_from_self(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFrame:
     """Overwrite a table with a result that reads the same table: write aside, then swap the folders."""
-    spark = df.sparkSession
-    aside, old = f"{path.rstrip('/')}__next", f"{path.rstrip('/')}__old"
+    spark, aside = df.sparkSession, f"{path.rstrip('/')}__next"
     writer(df, "overwrite", partition_by).parquet(aside)
+    _swap(spark, aside, path)
+    return read(spark, path)
+
+
+def _swap(spark: SparkSession, aside: str, path: str) -> None:
+    """Put the folder ``aside`` in the place of ``path``. After a crash between the two renames the old table lies at ``path__old``."""
     fs, target = _file_system(spark, path)
     _, jaside = _file_system(spark, aside)
-    _, jold = _file_system(spark, old)
-    fs.delete(jold, True)
-    if fs.exists(target) and not fs.rename(target, jold):
-        raise IOError(f"could not set aside {path}")
+    _, jold = _file_system(spark, f"{path.rstrip('/')}__old")
+    if fs.exists(target):
+        fs.delete(jold, True)
+        if not fs.rename(target, jold):
+            raise IOError(f"could not set aside {path}")
     if not fs.rename(jaside, target):
         raise IOError(f"could not move the new table to {path}")
     fs.delete(jold, True)
     spark.catalog.refreshByPath(path)
-    return read(spark, path)
 
 
 def append(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFrame:
@@ -101,17 +106,19 @@ def structure(df: DataFrame) -> DataFrame:
 
 
 def promote(spark: SparkSession, pairs: dict[str, str]) -> DataFrame:
-    """Copy each staging table over its production table, check the counts, then drop the staging table.
+    """Copy each staging table beside its production table, check the counts, swap, then drop the staging table.
 
-    Nothing is dropped unless every copy is whole. Returns one row per table.
+    Production is only touched when every copy is whole. Returns one row per table.
     """
     done = []
     for staging, production in pairs.items():
-        source = read(spark, staging)
-        copied = replace(source, production).count()
+        source, aside = read(spark, staging), f"{production.rstrip('/')}__next"
+        copied = replace(source, aside).count()
         if copied != source.count():
-            raise IOError(f"{production} does not hold every row of {staging}")
+            raise IOError(f"{aside} does not hold every row of {staging}")
         done.append((staging, production, copied))
+    for _, production, _ in done:  # nothing is swapped before every copy is whole
+        _swap(spark, f"{production.rstrip('/')}__next", production)
     for staging in pairs:
         fs, jpath = _file_system(spark, staging)
         fs.delete(jpath, True)
@@ -137,7 +144,7 @@ def system_sample(df: DataFrame, fraction: float, limit: int, seed: int = 42) ->
 def hashed_sample(df: DataFrame, keys: Iterable[str], limit: int, seed: int = 42) -> DataFrame:
     """Random rows that are the same on every run: the ``limit`` lowest seeded key hashes."""
     keys = list(keys)
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(limit)
+    return df.orderBy(F.md5(F.concat_ws("/", *[F.col(k).cast("string") for k in keys], F.lit(seed).cast("string"))), *keys).limit(limit)
 
 
 def round_trip(df: DataFrame, writer: str = "parquet", **options) -> DataFrame:

@@ -306,8 +306,7 @@ def test_requests_name_few_users(spark):
     items = spark.createDataFrame([(1,), (2,)], "book_id int")
     read = spark.createDataFrame([("a", 1)], "user_id string, book_id int")
     assert {tuple(r) for r in recommend.requested_pairs(users, items, read).collect()} == {("a", 2), ("b", 1), ("b", 2)}
-    with pytest.raises(ValueError, match="at most 1"):
-        recommend.requested_pairs(users, items, read, max_users=1)
+    assert recommend.requested_pairs(users, items, read, block=1).count() == 3  # in blocks
 
 
 def test_author_gender_rules(spark):
