@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from foliospark.llm.common import text_or_empty
 
 CELLS = 24
-LONG_LINE = 400
-BLOCK_KEYS, BLOCK_CELLS = 24, 60
+LONG_LINE = 1_000
+BLOCK_KEYS, BLOCK_CELLS = 12, 36
 ROUNDS = 16
 TRIES = 12
 SPAN_BITS = 16
@@ -54,10 +54,8 @@ def _places(key: Column, third: Column, salt: Column) -> list[Column]:
 def _put(thirds: Column, x: Column, sign: Column, third: Column) -> Column:
     """Add or take a digest: one cell of each third is replaced."""
     def one(name: str) -> Column:
-        cells, at = thirds[name], x[name]
-        old = F.get(cells, at)
-        new = _cell(old["n"] + sign, old["k"].bitwiseXOR(x["k"]), old["h"].bitwiseXOR(x["h"]))
-        return F.concat(F.slice(cells, F.lit(1), at), F.array(new), F.slice(cells, at + 2, third)).alias(name)
+        at = x[name]
+        return F.transform(thirds[name], lambda c, i: F.when(i == at, _cell(c["n"] + sign, c["k"].bitwiseXOR(x["k"]), c["h"].bitwiseXOR(x["h"]))).otherwise(c)).alias(name)
 
     return F.struct(*[one(name) for name in "abc"])
 
@@ -71,7 +69,7 @@ def sketch(keys: Column, third: Column, salt: Column) -> Column:
 
 def subtract(one: Column, other: Column) -> Column:
     cells = lambda a, b: F.zip_with(a, b, lambda x, y: _cell(x["n"] - y["n"], x["k"].bitwiseXOR(y["k"]), x["h"].bitwiseXOR(y["h"])))
-    return F.struct(*[cells(one[x], other[x]).alias(x) for x in "abc"])
+    return let(F.struct(one.alias("one"), other.alias("other")), lambda s: F.struct(*[cells(s["one"][x], s["other"][x]).alias(x) for x in "abc"]))
 
 
 def peel(difference: Column, third: Column, salt: Column) -> Column:
