@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from foliospark.llm.common import text_or_empty
 
 CELLS = 24
-LONG_LINE = 1_000
+LONG_LINE = 400
 BLOCK_KEYS, BLOCK_CELLS = 12, 36
 ROUNDS = 16
 TRIES = 12
@@ -152,7 +152,8 @@ def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
 
     The texts are shuffled once, by id, for both joins; what goes from a document to the one before it is a quarter of that one's length.
     """
-    base = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("_key"), F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
+    null_id = F.lit(-(2**63))  # sorts first; both joins use the same columns, so that they share one shuffle
+    base = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), null_id).alias("_key"), text_or_empty(text).alias("text"))
     base = base.withColumn("keys", paragraph_digests(F.col("text")))
     sizes = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("id"), F.length(text_or_empty(text)).alias("_n")).groupBy("id").agg(F.max("_n").alias("_n"))
     smallest = sizes.agg(F.min("id")).first()[0]
@@ -160,7 +161,7 @@ def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
     wanted = chain.join(sizes, "id").select(F.col("id").alias("_before"), F.col("next").alias("_next"), F.floor(F.col("_n") / 4).cast("int").alias("_take"))
     given = base.join(wanted, F.col("_key") == F.col("_next")).select("_before", F.xxhash64("text").alias("_h"), F.col("text").substr(F.lit(1), F.col("_take")).alias("next_start"), F.col("keys").alias("next_keys"))
     given = given.groupBy("_before").agg(F.min_by(F.struct("next_start", "next_keys"), "_h").alias("_given"))
-    return base.join(given, F.col("_key") == F.col("_before")).select("doc_id", "text", "keys", "_given.next_start", "_given.next_keys")
+    return base.join(given, F.col("_key") == F.col("_before")).select(F.when(F.col("_key") != null_id, F.col("_key")).alias("doc_id"), "text", "keys", "_given.next_start", "_given.next_keys")
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
