@@ -189,19 +189,24 @@ def shards(spark: SparkSession, path: str) -> DataFrame:
     return table.join(starts, (F.col("part") == F.col("_p")) & (F.col("shard") == F.col("_s"))).drop("_p", "_s")
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Per document: doc_id, start, n_tokens and its ids as little-endian bytes, decoded from the files."""
+def _decoded(spark: SparkSession, path: str, last: str, value) -> DataFrame:
+    """Per document doc_id, start, n_tokens and ``value`` of its ids as little-endian bytes."""
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start, docs, data in zip(batch["start"], batch["doc_ids"], batch["data"]):
                 shard = Shard(data)
-                ids, stops = shard.ids().astype("<u4"), np.cumsum(shard.doc_lengths, dtype=np.int64)
+                ids, stops = memoryview(shard.ids().astype("<u4").tobytes()), np.cumsum(shard.doc_lengths, dtype=np.int64)
                 begins = stops - shard.doc_lengths
                 yield pd.DataFrame({"doc_id": pd.array([None if d is None or d != d else int(d) for d in docs], dtype="Int64"), "start": start + begins, "n_tokens": shard.doc_lengths.astype(np.int64),
-                                    "ids": [ids[a:b].tobytes() for a, b in zip(begins, stops)]})
+                                    last.split()[0]: [value(ids[4 * a:4 * b]) for a, b in zip(begins, stops)]})
+
+    return shards(spark, path).select("start", "doc_ids", "data").mapInPandas(decode, f"doc_id bigint, start bigint, n_tokens bigint, {last}")
 
-    return shards(spark, path).select("start", "doc_ids", "data").mapInPandas(decode, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Per document: doc_id, start, n_tokens and its ids as little-endian bytes, decoded from the files."""
+    return _decoded(spark, path, "ids binary", bytes)
 
 
 def read_range(spark: SparkSession, path: str, start: int, n: int) -> DataFrame:
@@ -221,9 +226,4 @@ def read_range(spark: SparkSession, path: str, start: int, n: int) -> DataFrame:
 
 def document_digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and the CRC-32 of each document's ids, read back from the files."""
-
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.drop(columns="ids").assign(ids_crc32=[zlib.crc32(b) for b in batch["ids"]])
-
-    return read_documents(spark, path).mapInPandas(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return _decoded(spark, path, "ids_crc32 bigint", zlib.crc32)

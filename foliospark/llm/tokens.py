@@ -1,8 +1,8 @@
 """Token ids of whole texts by the ``tokenizers`` library.
 
-The vocabularies used here never merge across the end of a word: a token starts at the latest where white space follows another
-character. So a text is cut there, each distinct piece goes through the library once per worker, and a text's ids are joined from
-its pieces. A text with any other kind of white space than blank, tab and line ends goes through the library as it is.
+The vocabularies used here never merge across the end of a word. So a text is cut where that is certain (before white space, and between a Latin letter
+and an ASCII character that is none), each distinct piece goes through the library once per worker, and a text's ids are joined from its words, and a new word's from its
+pieces. A text with any other kind of white space than blank, tab and line ends goes through the library as it is.
 """
 
 from __future__ import annotations
@@ -11,10 +11,16 @@ import os
 import re
 from collections.abc import Sequence
 
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-_PIECES = re.compile("[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
-CACHE_PIECES = 400_000  # kept per worker; beyond it the cache starts anew
-LONG_PIECE = 200
+import numpy as np
+
+_OTHER_SPACE = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+_W, _L = " \\t\\n\\r\\x0b\\x0c", "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u024f"  # not U+0130, whose lower case ends in a mark
+# No piece ends between a character and a following one beyond ASCII, which may be a letter or combine with it.
+_PIECES = re.compile(f"[{_W}]*+[{_L}]++(?![^\\x00-\\x7f])|[{_W}]*+[^{_W}{_L}]++[{_L}]*+(?![^\\x00-\\x7f])|[{_W}]*+[^{_W}]++|[{_W}]++")
+_WORDS = re.compile(f"[{_W}]*+[^{_W}]++|[{_W}]++")
+_PLAIN, _PLAIN_LED = re.compile(f"[{_L}]++"), re.compile(f" [{_L}]++")
+KNOWN = 700_000  # words and pieces kept per worker, the first ones of each; others are encoded again when they come back
+RUN_WORDS = 2_000
 
 
 class Encoder:
@@ -26,35 +32,58 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def _by_library(self, texts: Sequence[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(list(texts), add_special_tokens=False)]
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        vocabulary = self.library.get_vocab()
+        self.marks_end = any(t.endswith("</w>") for t in vocabulary)
+        self.marked = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        for token, number in vocabulary.items():
+            self.marked[number] = token.endswith("</w>") if self.marks_end else token.startswith("\u0120")
+
+    def _alone(self, pieces: Sequence[str]) -> dict[str, bytes]:
+        found = self.library.encode_batch_fast(list(pieces), add_special_tokens=False)
+        return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(pieces, found)}
+
+    def _in_runs(self, pieces: Sequence[str]) -> dict[str, bytes]:
+        """Runs of letters, many in one string: the vocabulary marks the token that ends a word, or begins one after a blank."""
+        out: dict[str, bytes] = {}
+        for at in range(0, len(pieces), RUN_WORDS):
+            run = pieces[at:at + RUN_WORDS]
+            ids = np.array(self.library.encode((" " if self.marks_end else "").join(run), add_special_tokens=False).ids, dtype="<u4")
+            edge = np.flatnonzero(self.marked[ids])
+            cut = [0, *(edge + 1).tolist()] if self.marks_end else [*edge.tolist(), len(ids)]
+            if len(cut) != len(run) + 1:
+                raise ValueError("words and tokens do not match")
+            data = ids.tobytes()
+            out.update((p, data[4 * a:4 * b]) for p, a, b in zip(run, cut, cut[1:]))
+        return out
+
+    def _add_words(self, new: set[str]) -> set[str]:
+        """Join new words from their pieces; returns the pieces that were new."""
+        parts = {w: [w] if _OTHER_SPACE.search(w) else _PIECES.findall(w) for w in new}
+        pieces = {p for some in parts.values() for p in some if p not in self.pieces}
+        plain = _PLAIN if self.marks_end else _PLAIN_LED
+        letters = list(filter(plain.fullmatch, pieces))
+        self.pieces.update(self._in_runs(letters))
+        self.pieces.update(self._alone(list(pieces.difference(letters))))
+        known = self.pieces.__getitem__
+        self.words.update((w, b"".join(map(known, some))) for w, some in parts.items())
+        return pieces
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        pieces = [[t] if _OTHER_SPACE.search(t) else _PIECES.findall(t) for t in texts]
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        known = self.known
-        new = list({p for some in pieces for p in some if p not in known})
-        ids = self._by_library(new)
-        long = {}
-        for p, i in zip(new, ids):
-            (known if len(p) <= LONG_PIECE else long)[p] = i
-        if long:
-            known = _Both(known, long)
-        return [b"".join(map(known.__getitem__, some)) for some in pieces]
-
-
-class _Both:
-    def __init__(self, first: dict, second: dict):
-        self.first, self.second = first, second
-
-    def __getitem__(self, key: str) -> bytes:
-        found = self.first.get(key)
-        return self.second[key] if found is None else found
+        # Where the vocabulary marks the ends of words, white space has no ids of its own.
+        split = str.split if self.marks_end else _WORDS.findall
+        split_texts = [[t] if _OTHER_SPACE.search(t) else split(t) for t in texts]
+        known = self.words
+        new = {w for some in split_texts for w in some if w not in known}
+        pieces = self._add_words(new) if new else set()
+        out = [b"".join(map(known.__getitem__, some)) for some in split_texts]
+        long = any(len(w) > 1000 for w in new)
+        for kept, added in ((self.words, new), (self.pieces, pieces)):
+            if long or len(kept) > KNOWN:
+                for x in added:
+                    del kept[x]
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
