@@ -156,13 +156,13 @@ def links(nodes: DataFrame, segments: tuple[tuple[int, int], ...], bits: int, wi
 
 
 def classes(prints: DataFrame, segments: tuple[tuple[int, int], ...] = PAIR, bits: int = NEAR_BITS, width: int = 64) -> DataFrame:
-    """(fp, component_id) for every distinct fingerprint of ``prints`` (doc_id, fp)."""
+    """(fp, component_id, root) for every distinct fingerprint of ``prints`` (doc_id, fp); ``root`` tells components apart, also those of equal or null ids."""
     last = F.lit(2**63 - 1)
     grouped = prints.groupBy("fp").agg(F.min(F.coalesce("doc_id", last)).alias("doc"))
     # The numbers hold once the table is written; nothing reads the frame that made them.
     nodes, _ = written(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
     found = components(links(nodes, segments, bits, width), nodes)
-    out = nodes.join(found, "node", "left").select("fp", F.coalesce("root_doc", "doc").alias("component_id"))
+    out = nodes.join(found, "node", "left").select("fp", F.coalesce("root_doc", "doc").alias("component_id"), F.coalesce("root", "node").alias("root"))
     return out.withColumn("component_id", F.when(F.col("component_id") != last, F.col("component_id")))
 
 
@@ -194,6 +194,6 @@ def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
     named = prints.groupBy("_digest").agg(F.min(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1))).alias("_doc"), F.first("fp").alias("fp"))
     joined = named.join(classes(ids, CORPUS_SEGMENTS, CORPUS_BITS, CORPUS_WIDTH), "fp")
     # One text of each component: that of the smallest doc_id, then of the smallest digest.
-    best = joined.groupBy("component_id").agg(F.min(F.struct("_doc", "_digest")).alias("_best")).select(F.col("_best._digest").alias("_kept"))
+    best = joined.groupBy("root").agg(F.min(F.struct("_doc", "_digest")).alias("_best")).select(F.col("_best._digest").alias("_kept"))
     single = marked.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") == 1)
     return single.join(best, F.col("_digest") == F.col("_kept"), "left_semi").select(*[F.col(f"`{c}`") for c in columns])

@@ -126,6 +126,13 @@ def test_simhash(edge, empty):
     assert simhash.one_of_each(empty).count() == 0
 
 
+def test_unrelated_texts_of_null_or_equal_ids_stay(ready_spark):
+    texts = [" ".join(f"{word}{i}" for i in range(30)) for word in ("red", "blue", "green", "white", "black")]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[4])]
+    left = simhash.one_of_each(ready_spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert Counter(map(tuple, left.collect())) == Counter([(None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4])])
+
+
 def test_fingerprints(edge, empty):
     rows = fingerprint.fingerprints(edge).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(r[0] for r in ROWS)
