@@ -33,6 +33,10 @@ PAIR = ((32, 1), (32, 0))  # (bits, radius) of each segment: exact for 2 bits of
 # The corpus filter: 256 bits over the distinct shingles, ten 24-bit segments with balls of radius 1. Copies with 0.8 of their five-word
 # shingles in common differ in about 11 % of the bits; 32 of 256 leaves room for chance, texts without common passages differ in about half.
 CORPUS_WIDTH, CORPUS_SEGMENTS, CORPUS_BITS = 256, ((24, 1),) * 10, 32
+# The corpus filter links texts with 4 of 5 of their five-word shingles in common. Such pairs differ in about 39 +- 6 of 256 bits (angle of 2 * 0.8 / 1.8),
+# more than segments with small balls can cover, so candidates come from a prefix filter on the sets and not from fingerprints.
+CORPUS_SHINGLE, ALIKE = 5, (4, 5)
+ORDER_SHARE, FREQUENT = 8, 100_000  # one text in so many sets the order of shingles; so many are told apart
 NEXT = 4  # neighbours compared in the first pass
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -178,22 +182,115 @@ def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(F.get(fp, F.lit(0))), 16, "0"))
 
 
+def shingle_set(text: str | None) -> np.ndarray:
+    """The sorted set of a text's five-word shingles; texts without words have one in common."""
+    own = np.unique(shingle_hashes(text, CORPUS_SHINGLE))
+    return own if len(own) else np.zeros(1, dtype=np.uint64)
+
+
+def prefix(own: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, frequent ones last: a set that is alike has one of them, whatever the order, among its own first."""
+    order = np.arange(len(own))
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
+        order = np.argsort(np.where(frequent[at] == own, rank[at] + 1, 0), kind="stable")
+    common, of = ALIKE
+    return own[order[:len(own) - -(-common * len(own) // of) + 1]]
+
+
+def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of a share of the texts, sorted, and their rank. They set an order only, so a sample and a bound cost no pair."""
+
+    @F.pandas_udf("array<bigint>")
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([shingle_set(t).view(np.int64) for t in batch])
+
+    some = texts.where(F.pmod(F.crc32("_digest"), F.lit(ORDER_SHARE)) == 0).select(F.explode(compute("_text")).alias("entry"))
+    counts, _ = written(some.groupBy("entry").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2), "frequent")
+    least, total = 3, 0
+    for r in sorted(counts.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True):
+        total += r["k"]
+        if total > FREQUENT:
+            least = r["n"] + 1
+            break
+    rows = sorted((r["n"], r["entry"]) for r in counts.where(F.col("n") >= least).collect())
+    found = np.array([e for _, e in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(found)
+    return found[order], order
+
+
+def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have ``ALIKE`` of their union in common."""
+    common, of = ALIKE
+
+    @F.pandas_udf("boolean")
+    def verify(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in batches:
+            sets = {t: shingle_set(t) for t in {*left, *right}}
+            out = []
+            for x, y in zip(left, right):
+                x, y = sets[x], sets[y]
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(shared * of >= common * (len(x) + len(y) - shared))
+            yield pd.Series(out, dtype=bool)
+
+    a, b = texts.select(F.col("node").alias("a"), F.col("_text").alias("text_a")), texts.select(F.col("node").alias("b"), F.col("_text").alias("text_b"))
+    return pairs.join(a, "a").join(b, "b").where(verify("text_a", "text_b")).select("a", "b")
+
+
+def _possible(a: Column, b: Column) -> Column:
+    """Length and positional filter for two (node, n, at) that share the entry at these places."""
+    common, of = ALIKE
+    most = F.least(a["at"], b["at"]) + 1 + F.least(a["n"] - a["at"], b["n"] - b["at"]) - 1
+    return most * (common + of) >= (a["n"] + b["n"]) * common
+
+
+def set_links(texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``texts`` (node, doc, _digest, _text) that are alike: enough of them to give the components of all such pairs."""
+    shared = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts))
+
+    @F.pandas_udf("n int, head array<bigint>")
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_set(t) for t in batch]
+            yield pd.DataFrame({"n": [len(x) for x in sets], "head": [prefix(x, *shared.value).view(np.int64) for x in sets]})
+
+    heads, _ = written(texts.select("node", compute("_text").alias("_p")).select("node", "_p.n", "_p.head"), "heads")
+    members = heads.select("node", "n", F.posexplode("head").alias("at", "entry")).select("entry", F.struct("n", "node", "at").alias("m"))
+    inside = Window.partitionBy("entry").orderBy("m")
+    seen = members.select("m", "entry", *[F.lead("m", i).over(inside).alias(f"_n{i}") for i in range(1, NEXT + 1)], F.row_number().over(inside).alias("_at"))
+    seen, _ = written(seen.where(F.col("_n1").isNotNull() | (F.col("_at") == NEXT + 2)), "entries")
+    pairs = seen.select("m", F.explode(F.array_compact(F.array(*[f"_n{i}" for i in range(1, NEXT + 1)]))).alias("o")).where(_possible(F.col("m"), F.col("o")))
+    ends = F.least("m.node", "o.node").alias("a"), F.greatest("m.node", "o.node").alias("b")
+    close, _ = written(_alike(pairs.select(*ends).distinct(), texts), "close")
+    larger, n_larger = written(seen.where(F.col("_at") == NEXT + 2).select("entry").distinct(), "larger")
+    if not n_larger:
+        return close
+    roots = components(close, texts).select("node", F.col("root").alias("_root"))
+    inner = members.join(small(larger, n_larger), "entry").withColumn("node", F.col("m.node")).join(roots, "node", "left")
+    inner, _ = written(inner.select("entry", "m", F.coalesce("_root", "node").alias("root")), "inner")
+    other = inner.select(F.col("entry").alias("entry_o"), F.col("m").alias("o"), F.col("root").alias("root_o"))
+    apart = (F.col("entry") == F.col("entry_o")) & (F.col("m.node") < F.col("o.node")) & (F.col("root") != F.col("root_o")) & _possible(F.col("m"), F.col("o"))
+    rest, _ = written(_alike(inner.join(other, apart).select(*ends).distinct(), texts), "rest")
+    return close.unionByName(rest)
+
+
 @keeps_columns
 def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents without near copies: of every component the row with the smallest doc_id stays, with its columns.
 
-    Equal texts are reduced to one row first, each task to its own first rows before the shuffle; the components are found on one fingerprint per text.
+    Equal texts are reduced to one row first, each task to its own first rows before the shuffle. Distinct texts are linked where the exact Jaccard similarity
+    of their sets of five-word shingles is ``ALIKE`` or more; all such pairs are covered.
     """
     digest = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     columns = docs.columns
-    marked = docs.withColumn("_digest", digest)
     first = Window.partitionBy("_digest").orderBy(F.col("doc_id").asc_nulls_last())
-    prints = marked.select("_digest", "doc_id", fingerprints(F.col(f"`{text}`"), SHINGLE, CORPUS_WIDTH, False).alias("fp"))
-    prints, _ = written(prints, "prints")
-    ids = prints.select(F.col("doc_id").cast("bigint"), "fp")
-    named = prints.groupBy("_digest").agg(F.min(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1))).alias("_doc"), F.first("fp").alias("fp"))
-    joined = named.join(classes(ids, CORPUS_SEGMENTS, CORPUS_BITS, CORPUS_WIDTH), "fp")
-    # One text of each component: that of the smallest doc_id, then of the smallest digest.
-    best = joined.groupBy("root").agg(F.min(F.struct("_doc", "_digest")).alias("_best")).select(F.col("_best._digest").alias("_kept"))
-    single = marked.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") == 1)
-    return single.join(best, F.col("_digest") == F.col("_kept"), "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    single = docs.withColumn("_digest", digest).withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") == 1).drop("_rank")
+    # The numbers hold once the table is written.
+    single, _ = written(single.withColumn("_node", F.monotonically_increasing_id()), "single")
+    # Of a component the smallest doc_id stays, then the smallest digest.
+    doc = F.struct(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1)).alias("id"), "_digest")
+    texts = single.select(F.col("_node").alias("node"), doc.alias("doc"), "_digest", F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+    gone, n = written(components(set_links(texts), texts).where(F.col("node") != F.col("root")).select(F.col("node").alias("_node")), "gone")
+    return single.join(small(gone, n), "_node", "left_anti").select(*[F.col(f"`{c}`") for c in columns])

@@ -125,3 +125,37 @@ def test_components_of_planted_fingerprints(ready_spark):
     frame = ready_spark.createDataFrame([(i, [signed(p)]) for i, p in enumerate(prints)], "doc_id bigint, fp array<bigint>")
     got = {r["fp"][0]: r["component_id"] for r in simhash.classes(frame).collect()}
     assert got == {signed(p): find(i) for i, p in enumerate(prints)}
+
+
+def test_all_copies_of_four_fifths_and_no_others_go(ready_spark):
+    """Against the exact similarity of all pairs: pairs around the limit, chains, a large group, and a passage that many share."""
+    rng = random.Random(8)
+    new = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    passage, base, docs = new(40), new(150), []
+    for _ in range(60):
+        ws = new(rng.randint(30, 160))
+        docs += [ws, [*ws], [*ws]]
+        for copy, edits in ((docs[-2], rng.randint(1, max(1, len(ws) // 40 + 1))), (docs[-1], rng.randint(1, 4))):
+            for _ in range(edits):
+                copy[rng.randrange(len(copy))] = "new"
+    for k in range(60):
+        docs += [new(60) + passage, base[:k] + ["x", f"y{k}"] + base[k:]]
+    docs += [["one", "two"], ["One", "two"], ["one", "three"]]
+    sets = [{tuple(x.lower() for x in d[i:i + 5]) for i in range(max(1, len(d) - 4))} for d in docs]
+    parent = list(range(len(docs)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    links = 0
+    for i in range(len(docs)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+                links += 1
+    frame = ready_spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id bigint, text string")
+    kept = {r["doc_id"] for r in simhash.one_of_each(frame).collect()}
+    assert links > 100 and kept == {find(i) for i in range(len(docs))}
