@@ -1,24 +1,22 @@
 """Benchmark passages in documents, within an edit distance.
 
-Texts are strings of words. A passage is a window as long as a benchmark item whose edit distance from the item, counted in words, is at most ``EDITS`` of
-that length. CGK embeddings turn edit distance into Hamming distance: a walk reads the window and steps on or stays by a random bit
-that depends on the step and the word, the same for item and window. Each of ``WALKS`` walks has ``SAMPLES`` tables keyed by ``BITS`` sampled steps; windows that meet an item
-in any table are verified by the exact edit distance. A walk's steps are equal for equal texts, so exact copies are always found; the share of other
-passages found is measured in the tests against brute force and is above 0.9.
+Texts are strings of words. A passage is a run of words of a document whose edit distance from a benchmark item, counted in words, is at most ``EDITS`` of the
+item's length; it can be longer or shorter than the item, and lie at an end of the document.
 
-Windows are looked up only where they can succeed: an edit spoils at most two neighbouring pairs of words, so a passage keeps length - 1 - 2 * edits pairs of the benchmark.
-This costs no passage. Documents are scanned where they lie; the items are sent to every task in blocks of ``BLOCK_ITEMS``, one pass per block, so their size is bounded.
+An edit spoils at most two neighbouring pairs of words, so a passage of at most length + edits words keeps length - 1 - 2 * edits pairs of its item. Places with
+so many pairs of the items of one length are looked at, and there the items that have so many; their exact distance, with free ends, decides. So every passage is found.
+Documents are scanned where they lie; the items are sent to every task in blocks of ``BLOCK_ITEMS``, one pass per block, so their size is bounded.
 
 Words are ASCII letters in lower case, digits, and anything beyond ASCII. An item of fewer than ``LEAST_WORDS`` words cannot be told from chance and is not
-looked for. Null and empty texts have no passages; a null id is reported as null; repeated rows or items are reported each. Per document and item the closest window is given, of equal ones
-the first. An empty benchmark finds nothing.
+looked for. Null and empty texts have no passages; a null id is reported as null; repeated rows or items are reported each. Per document and item the closest passage is given, of equal ones
+the one that ends first and is nearest to the item in length; ``n_words`` is the item's length. An empty benchmark finds nothing.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,10 +28,8 @@ from foliospark.llm.common import keeps_columns
 
 EDITS = 0.2
 LEAST_WORDS = 5
-WALKS, SAMPLES, BITS = 4, 8, 4
 BLOCK_ITEMS = 20_000
 SCAN_WORDS = 200_000
-LOOK_UP = 20_000
 _MASK = (1 << 22) - 1
 _CLEAN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -64,37 +60,28 @@ def edit_distance(a: list[int], b: list[int], most: int) -> int:
     return min(row[len(b)], most + 1)
 
 
-def embed(strings: np.ndarray, lengths: np.ndarray, walk: int) -> np.ndarray:
-    """The first two steps per word of a CGK embedding, which has three; later ones are mostly past the end. Rows are padded with 0."""
-    n, width = strings.shape
-    padded = np.concatenate([strings, np.zeros((n, 1), dtype=strings.dtype)], axis=1).astype(np.uint32)
-    at, rows = np.zeros(n, dtype=np.int64), np.arange(n)
-    out = np.zeros((n, 2 * width), dtype=np.uint32)
-    for j in range(2 * width):
-        here = padded[rows, at]
-        out[:, j] = here
-        bit = ((here * np.uint32(0x9E3779B1) ^ np.uint32((j * 8 + walk) * 0x85EBCA77 & 0xFFFFFFFF)) * np.uint32(0xC2B2AE3D)) >> np.uint32(31)
-        at = np.minimum(at + bit, lengths)
-    return out
-
-
-@cache
-def _steps(length: int, walk: int) -> list[list[int]]:
-    """The sampled steps of each table."""
-    rng = np.random.default_rng([length, walk])
-    return [rng.choice(2 * length, size=BITS, replace=False).tolist() for _ in range(SAMPLES)]
-
-
-def keys(embedded: np.ndarray, length: int, walk: int) -> np.ndarray:
-    """A table key per row and sample, for strings of one length: the words at a few sampled steps."""
-    out = np.zeros((len(embedded), SAMPLES), dtype=np.uint64)
-    for s in range(SAMPLES):
-        key = np.full(len(embedded), s + 1, dtype=np.uint64)
-        for j in _steps(length, walk)[s]:
-            key = (key ^ embedded[:, j]) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(29)
-        out[:, s] = key
-    return out
+def closest(item: list[int], text: list[int]) -> tuple[int, int]:
+    """The least edit distance of the item from any run of words of the text, and where the first such run ends (Myers' bit vectors)."""
+    n = len(item)
+    at: dict[int, int] = {}
+    for i, x in enumerate(item):
+        at[x] = at.get(x, 0) | 1 << i
+    every, top = (1 << n) - 1, 1 << (n - 1)
+    up, down, score, best, stop = every, 0, n, n, 0
+    for j, x in enumerate(text, 1):
+        equal = at.get(x, 0)
+        v = equal | down
+        h = (((equal & up) + up) ^ up) | equal
+        right, left = (down | ~(h | up)) & every, up & h
+        if right & top:
+            score += 1
+        elif left & top:
+            score -= 1
+            if score < best:
+                best, stop = score, j
+        right, left = right << 1 & every, left << 1 & every
+        up, down = (left | ~(v | right)) & every, right & v
+    return best, stop
 
 
 class Benchmark:
@@ -107,6 +94,7 @@ class Benchmark:
         self.ids, self.items = [i for i, _ in found], [[self.number.setdefault(x, len(self.number) + 1) for x in w] for _, w in found]
         self.pairs = np.zeros(_MASK + 1, dtype=bool)
         self.by_length: dict[int, list[int]] = {}
+        self.having: dict[tuple[int, int], list[int]] = {}  # the items by length and pair
         pairs_of: dict[int, list[np.ndarray]] = {}
         for k, item in enumerate(self.items):
             own = np.array(item, dtype=np.int64)
@@ -114,18 +102,11 @@ class Benchmark:
             self.pairs[codes] = True
             self.by_length.setdefault(len(item), []).append(k)
             pairs_of.setdefault(len(item), []).append(codes)
-        self.repeats = any((own[1:] == own[:-1]).any() for codes in pairs_of.values() for own in codes)
+            for c in set(codes.tolist()):
+                self.having.setdefault((len(item), c), []).append(k)
+        self.repeats = any((np.diff(item) == 0).any() for item in self.items)
         self.pairs_of = {n: np.unique(np.concatenate(codes)) for n, codes in pairs_of.items()}
         self.edits = {n: int(EDITS * n) for n in self.by_length}
-        self.tables: dict[tuple[int, int], dict[int, list[int]]] = {}
-        for n, own in self.by_length.items():
-            strings = np.array([self.items[k] for k in own], dtype=np.uint32)
-            for walk in range(WALKS):
-                table: dict[int, list[int]] = {}
-                for k, row in zip(own, keys(embed(strings, np.full(len(own), n), walk), n, walk).tolist()):
-                    for key in row:
-                        table.setdefault(key, []).append(k)
-                self.tables[n, walk] = table
 
     @staticmethod
     def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -153,60 +134,48 @@ class Benchmark:
         code = self._pair(run[:-1], run[1:])
         good = self.pairs[code] & (run[:-1] > 0) & (run[1:] > 0)
         if not self.repeats:  # of a pair said over and over only one can be in a passage
-            good[1:] &= code[1:] != code[:-1]
+            good[1:] &= (run[:-2] != run[1:-1]) | (run[1:-1] != run[2:])
         shared = np.flatnonzero(good)
         code = code[shared]
 
-        def counted(places: np.ndarray) -> np.ndarray:
-            """Pairs before each place."""
-            flag = np.zeros(len(run) + 1, dtype=np.int32)
-            flag[places + 1] = 1
-            return np.cumsum(flag, dtype=np.int32)
-
-        every = counted(shared)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        best: list[dict[int, tuple]] = [{} for _ in coded]
         for n, most in self.edits.items():
-            if n > len(run):
-                continue
-            need = max(1, n - 1 - 2 * most)
-            starts = np.flatnonzero(every[n - 1:len(run)] - every[:len(run) - n + 1] >= need)
-            if not len(starts):
+            need, span = n - 1 - 2 * most, n + most
+
+            def dense(places: np.ndarray) -> np.ndarray:
+                """Which places have enough of the places in a longest passage from there on."""
+                return np.searchsorted(places, places + span - 1) - np.arange(len(places)) >= need
+
+            if not dense(shared).any():
                 continue
-            own = counted(shared[np.isin(code, self.pairs_of[n])])  # the pairs of the items of this length
-            starts = starts[own[starts + n - 1] - own[starts] >= need]
+            mine = np.isin(code, self.pairs_of[n])  # the pairs of the items of this length
+            own, own_code = shared[mine], code[mine]
+            starts = own[dense(own)]
             if not len(starts):
                 continue
             doc = np.searchsorted(begin, starts, side="right") - 1
-            inside = starts + n <= begin[doc + 1] - 1
-            starts, doc = starts[inside], doc[inside]
-            found.append((starts, doc, np.full(len(starts), n)))
-        best: list[dict[int, tuple]] = [{} for _ in coded]
-        if found:
-            starts, doc, sizes = (np.concatenate(x) for x in zip(*found))
-            for part in range(0, len(starts), LOOK_UP):
-                self._look_up(run, starts[part:part + LOOK_UP], doc[part:part + LOOK_UP], sizes[part:part + LOOK_UP], begin, best)
+            low, high = np.maximum(starts - span, begin[doc]), np.minimum(starts + span, begin[doc + 1] - 1)
+            first = np.flatnonzero(np.concatenate([[True], low[1:] > high[:-1]]))  # of each run of overlapping places
+            last = np.concatenate([first[1:], [len(starts)]]) - 1
+            for d, a, b in zip(doc[first].tolist(), low[first].tolist(), high[last].tolist()):
+                inside = own_code[np.searchsorted(own, a):np.searchsorted(own, b - 1)]
+                self._verify(run[a:b].tolist(), a - int(begin[d]), inside.tolist(), n, most, need, best[d])
         return [[(self.ids[k], start, n, edits) for k, (edits, start, n) in sorted(b.items())] for b in best]
 
-    def _look_up(self, run: np.ndarray, starts: np.ndarray, doc: np.ndarray, sizes: np.ndarray, begin: np.ndarray, best: list[dict[int, tuple]]) -> None:
-        width = int(sizes.max(initial=0))
-        place = np.arange(width)[None, :]
-        strings = np.where(place < sizes[:, None], run[np.minimum(starts[:, None] + place, len(run) - 1)], 0)
-        groups = [(n, np.flatnonzero(sizes == n)) for n in np.unique(sizes).tolist()]
-        met: set[tuple[int, int]] = set()
-        for walk in range(WALKS):
-            embedded = embed(strings, sizes, walk)
-            for n, rows in groups:
-                table = self.tables[n, walk]
-                for row, own in zip(rows.tolist(), keys(embedded[rows], n, walk).tolist()):
-                    for key in own:
-                        if key in table:
-                            met.update((row, k) for k in table[key])
-        for row, k in sorted(met):
-            d, start, n = int(doc[row]), int(starts[row] - begin[doc[row]]), int(sizes[row])
-            known = best[d].get(k)
-            bound = self.edits[n] if known is None else min(self.edits[n], known[0] - 1)
-            if bound >= 0 and (edits := edit_distance(strings[row, :n].tolist(), self.items[k], bound)) <= bound:
-                best[d][k] = (edits, start, n)
+    def _verify(self, text: list[int], offset: int, codes: list[int], n: int, most: int, need: int, best: dict[int, tuple]) -> None:
+        counts: dict[int, int] = {}
+        for c in codes:
+            for k in self.having[n, c]:
+                counts[k] = counts.get(k, 0) + 1
+        for k, count in counts.items():
+            bound = min(most, best[k][0] - 1) if k in best else most
+            if count < need or bound < 0:
+                continue
+            edits, stop = closest(self.items[k], text)
+            if edits <= bound:
+                lengths = sorted(range(max(n - edits, 0), min(n + edits, stop) + 1), key=lambda x: (abs(x - n), -x))
+                length = next(x for x in lengths if edit_distance(text[stop - x:stop], self.items[k], edits) <= edits)
+                best[k] = (edits, offset + stop - length, n)
 
 
 _INDEXES: dict[str, Benchmark] = {}

@@ -34,6 +34,40 @@ def test_passages_with_edits_are_found():
     assert all(p[3] <= index.edits[p[2]] for f in found for p in f.values())
 
 
+def test_inserted_missing_and_cut_words_are_found():
+    """Every passage at the limit, whatever the edits, also in documents that end with it or are no more than it; distances against plain dynamic programming."""
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(5, 60)))) for i in range(80)]
+    index = decontaminate.Benchmark(items)
+    texts, want = [], []
+    for i, text in items * 6:
+        ws, most = text.split(), int(decontaminate.EDITS * len(text.split()))
+        kind = rng.choice(["insert", "delete", "mixed", "head", "tail"])
+        for _ in range(most):
+            edit = rng.choice(["insert", "delete", "change"]) if kind == "mixed" else kind
+            at = {"head": 0, "tail": len(ws) - 1}.get(edit, rng.randrange(len(ws)))
+            ws[at:at + (edit != "insert")] = [] if edit in ("delete", "head", "tail") else ["new"]
+        around = [rng.choices(vocabulary, k=rng.choice([0, 50])) for _ in range(2)]
+        texts.append(" ".join(around[0] + ws + around[1]))
+        want.append(i)
+
+    def free_ends(a, b):
+        row = [0] * (len(b) + 1)
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
+            row = new
+        return min(row)
+
+    for i, text, found in zip(want, texts, index.search(texts)):
+        by = {p[0]: p for p in found}
+        assert i in by
+        assert all(p[3] == free_ends(items[k][1].split(), text.split()) for k, p in by.items())
+    assert index.search([" ".join(items[0][1].split()[:-1])])[0][0][3] == 1
+
+
 def test_edit_distance():
     def plain(a, b):
         d = [[max(i, j) if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
