@@ -7,7 +7,8 @@ texts is scored by one matrix product per n-gram length. N-grams are hashed to 6
 
 Fitting takes a bounded sample: up to ``SAMPLE`` labelled rows per language, those of smallest hash; ``LANDMARKS`` of them are landmarks. Every row is
 scored on its whole text. A text that is null or has no letter is ``und`` with score 0, and so is every text if there is nothing to learn from. The score is
-half of one plus the winning regression's value, cut to 0 to 1; below a half every regression says no. Ties go to the first language by name. Repeated rows get
+half of one plus the winning regression's value, cut to 0 to 1; up to a half every regression says no. A text most of whose distinct letters are in no landmark
+gets a half at most. Ties go to the first language by name. Repeated rows get
 equal answers. The added columns replace input columns of the same name.
 """
 
@@ -29,7 +30,7 @@ ORDERS = (1, 2, 3)
 PLACES = 1 << 16
 BATCH = 64
 UNKNOWN = "und"
-REJECT_BELOW = 0.35  # score under which a corpus drops a document
+REJECT_BELOW = float(np.nextafter(0.5, 1))  # score under which a corpus drops a document: no regression says yes
 
 _LETTERS: list[np.ndarray] = []
 
@@ -80,12 +81,17 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         names, scores = [], np.zeros(len(texts))
+        seen = self.weights[0].any(1) if self.languages else None  # the letters of the landmarks
         for at in range(0, len(texts), BATCH):
             flags, some = presence(texts[at:at + BATCH])
             if not self.languages:
                 names += [UNKNOWN] * len(some)
                 continue
             value = sum((x.astype(np.float32) @ w) / np.sqrt(np.maximum(x.sum(1), 1))[:, None] for x, w in zip(flags, self.weights))
+            # Letters that no landmark has say nothing: what is left is the gap and chance agreements of places.
+            own = flags[0]
+            strange = 2 * (own & seen).sum(1) < own.sum(1)
+            value = np.where(strange[:, None], np.minimum(value, 0), value)
             best = value.argmax(1)
             names += [self.languages[b] if s else UNKNOWN for b, s in zip(best, some)]
             scores[at:at + len(some)] = np.where(some, np.clip((value.max(1) + 1) / 2, 0, 1), 0)

@@ -132,6 +132,17 @@ def test_held_out_languages(ready_spark):
     assert len(rows) > 30 and sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.97 * len(rows)
 
 
+def test_languages_that_were_not_learned_go(ready_spark):
+    """Other scripts and random letters are turned down, clean documents stay."""
+    docs = ready_spark.read.parquet(f"{SF}/documents.parquet").where("lang is not null and text is not null").select("doc_id", "text", "lang")
+    rng = random.Random(1)
+    other = ["Это совсем другой язык, и его никто здесь не учил. " * 4, "这是一个完全不同的语言，没有人学过它。" * 5, "これは誰も学んでいない言語です。" * 5, "Αυτή είναι μια άλλη γλώσσα που κανείς δεν έμαθε. " * 4]
+    other += [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n)) for n in (20, 100, 400)]
+    mixed = docs.unionByName(ready_spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(other)], docs.schema))
+    kept = {r["doc_id"] for r in language_id.accepted(mixed, language_id.fit(docs)).collect()}
+    assert min(kept) >= 0 and len(kept) > 0.97 * docs.select("doc_id").distinct().count()
+
+
 def test_components_of_planted_fingerprints(ready_spark):
     """Against all pairs, with a dense group, bit flips across both segments, and chains."""
     rng = random.Random(5)
