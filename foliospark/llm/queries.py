@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import decontaminate, fingerprint, language_id, license_scan, line_dedup, packing, sharding, simhash, token_grammar, warc
+from foliospark.llm import decontaminate, fingerprint, language_id, license_scan, line_dedup, packing, periodic, sharding, simhash, token_grammar, warc
 from foliospark.llm.common import ready
 from foliospark.session import work_folder
 
@@ -165,3 +165,12 @@ def op1_license_scan(spark, sf_dir):
 @query("op5_decontamination")
 def op5_decontamination(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    out = periodic.find(table(spark, sf_dir, "documents"), edit=periodic.planted).withColumn("best", periodic.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return out.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+                      F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+                      F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
