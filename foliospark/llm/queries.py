@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import decontaminate, fingerprint, language_id, license_scan, line_dedup, packing, periodic, sharding, simhash, token_grammar, warc
+from foliospark.llm import decontaminate, divergence, fingerprint, language_id, license_scan, line_dedup, packing, periodic, sharding, simhash, token_grammar, warc
 from foliospark.llm.common import ready
 from foliospark.session import work_folder
 
@@ -174,3 +174,37 @@ def op12_periodic_runs(spark, sf_dir):
     return out.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
                       F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
                       F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+_SHARE = "1 + (1000000000::HUGEINT * ({} + 2)) // ({} + 2 * v.terms)"
+
+
+@query("op11_source_divergence", rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+  FROM documents),
+words AS (SELECT r, lang, source, unnest(found) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}),
+counts AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN kept k USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, source, sum(n) AS n FROM counts GROUP BY ALL),
+v AS (SELECT lang, count(*) AS terms, sum(total) AS n FROM kept GROUP BY lang),
+sources AS (SELECT g.lang, g.source, coalesce(s.n, 0) AS n FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN sizes s USING (lang, source)),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {_SHARE.format("coalesce(c.n, 0)", "g.n")} AS p, {_SHARE.format("k.total", "v.n")} AS q
+  FROM sources g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+over AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM cells WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM over
+  QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) <= {divergence.TOP_TERMS})
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked
+""")
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
