@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import decontaminate, divergence, fingerprint, language_id, license_scan, line_dedup, packing, periodic, sharding, simhash, token_grammar, warc
+from foliospark.llm import decontaminate, divergence, fingerprint, language_id, license_scan, line_dedup, nearest, packing, periodic, sharding, simhash, token_grammar, warc
 from foliospark.llm.common import ready
 from foliospark.session import work_folder
 
@@ -208,3 +208,8 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank F
 """)
 def op11_source_divergence(spark, sf_dir):
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_nearest_vectors")
+def op13_nearest_vectors(spark, sf_dir):
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
