@@ -29,7 +29,7 @@ from foliospark.llm.routing import Partitioner, Tree
 
 K = 20
 SAMPLE, SAMPLE_BYTES = 8192, 64 << 20
-LEAF, FAN_OUT = 2048, 64
+LEAF, FAN_OUT = 8192, 64
 TREE_BYTES = 64 << 20
 CALIBRATE, RECALL = 256, 0.95
 BLOCK, QUERIES = 8192, 8192
@@ -50,21 +50,26 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _sampled(items: DataFrame, parts: dict[int, int], dims: int) -> DataFrame:
-    """At most ``SAMPLE`` items of each part in ``parts``, by hash."""
+def _sampled(items: DataFrame, sizes: dict[int, int], dims: int) -> DataFrame:
+    """At most ``SAMPLE`` items of each part in ``sizes``, by hash. A cut of the hash leaves little more than that, so few rows meet."""
     most = max(64, min(SAMPLE, SAMPLE_BYTES // (8 * dims)))
+    cut = F.lit(None).cast("bigint")
+    for part, n in sizes.items():
+        share = min(1.0, (1.2 * most + 100) / n)
+        cut = F.when(F.col("part") == part, F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64)))).otherwise(cut)
     first = Window.partitionBy("part").orderBy("hash", "item")
-    return items.where(F.col("part").isin(list(parts))).withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= most).select("part", "vector")
+    return items.where(F.col("hash") <= cut).withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= most).select("part", "vector")
 
 
-def _fitted(items: DataFrame, parts: dict[int, int], dims: int) -> dict[int, bytes]:
-    """A partitioner for each part, fitted in one task each on its sample."""
+def _fitted(items: DataFrame, sizes: dict[int, int], dims: int) -> dict[int, bytes]:
+    """A partitioner for each part, fitted in one task each on its sample, for leaves of about ``LEAF``."""
+    parts = {p: max(2, min(FAN_OUT, -(-n // LEAF))) for p, n in sizes.items()}
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(rows["vector"].to_numpy())
         return pd.DataFrame({"part": [key[0]], "data": [Partitioner.fitted(x, min(parts[key[0]], len(x) // 2)).to_bytes()]})
 
-    return {r["part"]: r["data"] for r in _sampled(items, parts, dims).groupBy("part").applyInPandas(fit, "part int, data binary").collect()}
+    return {r["part"]: r["data"] for r in _sampled(items, sizes, dims).groupBy("part").applyInPandas(fit, "part int, data binary").collect()}
 
 
 def _filed(items: DataFrame, tree: Tree, name: str) -> DataFrame:
@@ -84,13 +89,13 @@ def _filed(items: DataFrame, tree: Tree, name: str) -> DataFrame:
 def _index(items: DataFrame, n: int, dims: int) -> tuple[DataFrame, Tree]:
     """All items with their leaf, and the tree."""
     blobs: dict[int, bytes] = {}
-    if n >= 2 * LEAF:
-        blobs = _fitted(items.withColumn("part", F.lit(-1)), {-1: min(FAN_OUT, -(-n // LEAF))}, dims)
+    if n > LEAF:
+        blobs = _fitted(items.withColumn("part", F.lit(-1)), {-1: n}, dims)
     tree = Tree(blobs, FAN_OUT)
     if n > FAN_OUT * LEAF:
         filed, _ = written(_filed(items, tree, "leaf").withColumn("part", (F.col("leaf") / FAN_OUT).cast("int")), "filed")
         sizes = {r["part"]: r["count"] for r in filed.groupBy("part").count().collect()}
-        large = {p: min(FAN_OUT, -(-c // LEAF)) for p, c in sizes.items() if c > 2 * LEAF}
+        large = {p: c for p, c in sizes.items() if c > 2 * LEAF}
         if (len(large) + 1) * len(blobs[-1]) <= TREE_BYTES:
             tree = Tree(blobs | _fitted(filed, large, dims), FAN_OUT)
         items = filed.drop("part", "leaf")
