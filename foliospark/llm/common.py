@@ -5,7 +5,9 @@ from __future__ import annotations
 import functools
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,19 @@ from pyspark.sql import functions as F
 from foliospark.session import RUNTIME_CONF
 from foliospark.sources.tables import stage
 
+T = TypeVar("T")
 BROADCAST_ROWS = 200_000
+BATCH_BYTES = 8 << 20
+
+_HELD: dict[object, object] = {}
+
+
+def held(name: object, make: Callable[[], T]) -> T:
+    """What a Python worker keeps from one task to the next. It keeps the latest only, so workers that serve many jobs do not grow."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
 
 
 def text_or_empty(name: str = "text") -> Column:
@@ -46,6 +60,7 @@ def ready(spark: SparkSession) -> None:
     for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
         spark.conf.set(key, RUNTIME_CONF[key])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")  # texts are long
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship(spark)
 
 

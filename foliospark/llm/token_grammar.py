@@ -30,7 +30,7 @@ END_ID = 2
 SHARD_IDS = 1 << 20
 MIN_PAIRS = 8  # a rule is made for pairs that occur this often
 LEAST_GAIN = 0.002  # a round that shortens the sequence by less is the last
-_HASH_BITS = 20
+_HASH_BITS = 21
 MAGIC = b"RPG1"
 
 SHARDS = "part int, shard int, n_docs int, n_ids bigint, doc_ids array<bigint>, data binary"
@@ -41,28 +41,27 @@ def compress(ids: np.ndarray, min_pairs: int = MIN_PAIRS, least_gain: float = LE
     first = int(ids.max()) + 1 if len(ids) else 0
     seq, rules, n_rules, limit = ids.astype(np.uint32), [], 0, None
     while len(seq) > 1:
+        # Counting by hash bounds each pair's frequency from above without a sort; the pairs taken are then counted exactly.
         spread = (seq[:-1] * np.uint32(0x9E3779B1) + seq[1:]) * np.uint32(0x85EBCA77) >> np.uint32(32 - _HASH_BITS)
-        counts = np.bincount(spread, minlength=1 << _HASH_BITS)  # an upper bound for each pair
+        counts = np.bincount(spread, minlength=1 << _HASH_BITS)
         if limit is None:
             limit = max(min_pairs, int(counts.max()) // 4)
-        at = np.flatnonzero(counts[spread] >= limit)
-        key, at = _frequent(seq, at, limit)
+        at = np.flatnonzero((counts >= limit)[spread])
         made = 0
         if len(at):
             # In a run of overlapping pairs every other one is taken.
             run = np.arange(len(at))
             start = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, run, 0))
-            chosen = (run - start) % 2 == 0
-            pair, rank, used = np.unique(key[chosen], return_inverse=True, return_counts=True)
-            worth = used >= min(limit, min_pairs)
+            at = at[(run - start) % 2 == 0]
+            pair, rank, used = np.unique(seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1], return_inverse=True, return_counts=True)
+            worth = used >= max(min_pairs, limit // 2)
             number = np.cumsum(worth) - 1
             taken = worth[rank]
-            place, made = at[chosen][taken], int(taken.sum())
+            place, made = at[taken], int(taken.sum())
             pair = pair[worth]
-            seq = seq.copy()
-            seq[place] = (first + n_rules + number[rank[taken]]).astype(np.uint32)
             keep = np.ones(len(seq), dtype=bool)
             keep[place + 1] = False
+            seq[place] = (first + n_rules + number[rank[taken]]).astype(np.uint32)
             seq = seq[keep]
             rules.append(np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
             n_rules += len(pair)
@@ -72,14 +71,6 @@ def compress(ids: np.ndarray, min_pairs: int = MIN_PAIRS, least_gain: float = LE
     return first, np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.uint32), seq
 
 
-def _frequent(seq: np.ndarray, at: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of these places, the keys and places of the pairs that occur ``limit`` times."""
-    key = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
-    _, rank, n = np.unique(key, return_inverse=True, return_counts=True)
-    good = n[rank] >= limit
-    return key[good], at[good]
-
-
 def lengths_of(first: int, rules: np.ndarray) -> np.ndarray:
     """Expansion length of each rule. A rule only refers to earlier ones, so each pass settles one more level."""
     out = np.zeros(len(rules), dtype=np.int64)
