@@ -24,7 +24,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import keeps_columns
+from foliospark.llm.common import held, keeps_columns
+from foliospark.sources.tables import stage
 
 EDITS = 0.2
 LEAST_WORDS = 5
@@ -178,43 +179,40 @@ class Benchmark:
                 best[k] = (edits, offset + stop - length, n)
 
 
-_INDEXES: dict[str, Benchmark] = {}
-
-
 def _searcher(shared: Broadcast):
     name = str(uuid.uuid4())  # under which a worker keeps the index
 
     @F.pandas_udf(PASSAGES)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if name not in _INDEXES:
-            _INDEXES[name] = Benchmark(shared.value)
+        index = held(name, lambda: Benchmark(shared.value))
         for batch in batches:
-            yield pd.Series([[dict(zip(("item_id", "word_start", "n_words", "edits"), p)) for p in found] for found in _INDEXES[name].search(batch.tolist())])
+            yield pd.Series([[dict(zip(("item_id", "word_start", "n_words", "edits"), p)) for p in found] for found in index.search(batch.tolist())])
 
     return search
 
 
-def passages(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Column:
-    """The column of passages found in a text; reads the benchmark now."""
+def passages(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Iterator[Column]:
+    """For each block of items the column of their passages in a text. A block is read when its column is asked for."""
     context = docs.sparkSession.sparkContext
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where(F.col("text").isNotNull())
     blocks = max(1, -(-items.count() // BLOCK_ITEMS))
     block_of = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    columns = []
     for block in range(blocks):
         rows = [(r["item_id"], r["text"]) for r in items.where(block_of == block).collect()]
-        columns.append(_searcher(context.broadcast(rows))(F.col(f"`{text}`")))
-    return reduce(F.concat, columns)
+        yield _searcher(context.broadcast(rows))(F.col(f"`{text}`"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """A row per document and item found in it: doc_id, item_id, word_start, n_words, edits."""
-    found = docs.select("doc_id", passages(docs, benchmark, text).alias("_found"))
-    return found.select("doc_id", F.explode("_found").alias("_p")).select("doc_id", "_p.*")
+    """A row per document and item found in it: doc_id, item_id, word_start, n_words, edits. Each block of items is a pass of its own, so a worker holds one block."""
+    parts = [docs.select("doc_id", F.explode(found).alias("_p")).select("doc_id", "_p.*") for found in passages(docs, benchmark, text)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @keeps_columns
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents without a benchmark passage, with their columns."""
-    found = docs.withColumn("_found", passages(docs, benchmark, text))
-    return found.where(F.size("_found") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    for number, found in enumerate(passages(docs, benchmark, text)):
+        rest = stage(docs, "clean") if number else docs  # of the blocks before
+        docs = rest.withColumn("_found", found).where(F.size("_found") == 0).select(*columns)
+    return docs

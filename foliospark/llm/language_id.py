@@ -164,5 +164,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 @keeps_columns
 def accepted(docs: DataFrame, model: Model, text: str = "text", below: float = REJECT_BELOW) -> DataFrame:
-    """The documents whose language is recognised; their columns only."""
-    return identify(docs, model, text).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= below)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents whose language is recognised, with their columns as they were."""
+    aside = {c: f"_input_{c}" for c in ("lang_pred", "score") if c in docs.columns}
+    found = identify(docs.withColumnsRenamed(aside), model, aside.get(text, text))
+    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= below)).drop("lang_pred", "score")
+    return kept.withColumnsRenamed({v: k for k, v in aside.items()}).select(*[F.col(f"`{c}`") for c in docs.columns])

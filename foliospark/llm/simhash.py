@@ -30,8 +30,6 @@ SEED = 42
 SHINGLE = 3
 NEAR_BITS = 2
 PAIR = ((32, 1), (32, 0))  # (bits, radius) of each segment: exact for 2 bits of 64
-# The corpus filter of before; only test_near_copy_stage reads these three.
-CORPUS_WIDTH, CORPUS_SEGMENTS, CORPUS_BITS = 256, ((24, 1),) * 10, 32
 # The corpus filter links texts with 4 of 5 of their five-word shingles in common. Such pairs differ in about 39 +- 6 of 256 bits (angle of 2 * 0.8 / 1.8),
 # more than segments with small balls can cover, so candidates come from a prefix filter on the sets and not from fingerprints.
 CORPUS_SHINGLE, ALIKE = 5, (4, 5)
