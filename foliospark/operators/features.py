@@ -191,7 +191,11 @@ def model_inputs(columns: list[str]) -> list[str]:
 
 def scoring_features(pairs: DataFrame, users: DataFrame, books: DataFrame) -> DataFrame:
     """Features of not-yet-read (user, book) pairs, with the scoring-time defaults."""
-    joined = pairs.join(users, "user_id_clean").join(books, "book_id")
+    return with_scoring_defaults(pairs.join(users, "user_id_clean").join(books, "book_id"))
+
+
+def with_scoring_defaults(joined: DataFrame) -> DataFrame:
+    """Defaults and cross features of rows that have user and book features."""
     filled = joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in SCORING_DEFAULTS.items()
                                  if c not in ("avg_book_reading_time_days", "num_pages")})
     days = F.col("avg_book_reading_time_days")
