@@ -22,7 +22,7 @@ _W, _L = " \\t\\n\\r\\x0b\\x0c", "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\
 _PIECES = re.compile(f"[{_W}]*+[{_L}]++(?![^\\x00-\\x7f])|[{_W}]*+[^{_W}{_L}]++[{_L}]*+(?![^\\x00-\\x7f])|[{_W}]*+[^{_W}]++|[{_W}]++")
 _WORDS = re.compile(f"[{_W}]*+[^{_W}]++|[{_W}]++")
 _PLAIN, _PLAIN_LED = re.compile(f"[{_L}]++"), re.compile(f" [{_L}]++")
-KNOWN_BYTES = 64 << 20  # of words and pieces kept per worker, the first ones; others are encoded again when they come back
+KNOWN_BYTES = 160 << 20  # of words and pieces kept per worker, the first ones; others are encoded again when they come back
 ENTRY_BYTES = 190  # of an entry besides twice its characters
 RUN_WORDS = 2_000
 CHARS_AT_ONCE = 2 << 20
@@ -80,7 +80,7 @@ class Encoder:
         """Runs of letters, many in one string: the vocabulary marks the token that ends a word, or begins one after a blank."""
         for at in range(0, len(pieces), RUN_WORDS):
             run = pieces[at:at + RUN_WORDS]
-            ids = np.array(self.library.encode((" " if self.marks_end else "").join(run), add_special_tokens=False).ids, dtype="<u4")
+            ids = np.array(self.library.encode_batch_fast([(" " if self.marks_end else "").join(run)], add_special_tokens=False)[0].ids, dtype="<u4")
             edge = np.flatnonzero(self.marked[ids])
             cut = np.concatenate([[0], edge + 1] if self.marks_end else [edge, [len(ids)]])
             if len(cut) != len(run) + 1:
