@@ -3,12 +3,11 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from catalog.features import SCORED, scored_candidates
+from catalog.features import REQUESTED, SCORED, scored_candidates
 from catalog.registry import on_tables, query
 from catalog.relations import COLLAPSED, UNREAD, _author, _ranked
 from foliospark.functions.numbers import split_bucket
-from foliospark.operators import features, models, recommend, scoring
-from foliospark.operators.ordered import top_per_key
+from foliospark.operators import ensemble, features, models, recommend, scoring
 from foliospark.sources import adapters, tables
 
 
@@ -130,30 +129,42 @@ def mean_recommendations(d):
     return recommend.one_edition(_ranked(d)).select("user_id", "book_id", "title", "author_names", F.col("average_rating").alias("rating"), "predicted_rating")
 
 
-@on_tables("m9_tree_recommendations", """
-SELECT count(DISTINCT p.user_id) AS users, count(*) AS scored_pairs, CAST(0 AS BIGINT) AS read_books, TRUE AS at_most_50, TRUE AS ranks_follow_scores FROM (
-  SELECT u.user_id_clean AS user_id, b.book_id FROM user_feats u CROSS JOIN (SELECT DISTINCT book_id FROM feats) b
-  WHERE CAST(u.user_id_clean[2:] AS BIGINT) % 50 = 0 AND NOT EXISTS (SELECT 1 FROM read_pairs r WHERE r.user_id = u.user_id_clean AND r.book_id = b.book_id)) p""")
-def tree_recommendations(d):
-    """Trees fitted on the train split score every unread book of the users in a request (every fiftieth user); the best 50 each are kept.
-
-    The scores of trees have no SQL form, so what must hold of the lists is returned.
-    """
+def _tree_lists(d):
+    """The 50 best unread books, under trees fitted on the train split, of the users whose number is divisible by 20, out of all books."""
     rated = tables.stage(d.split.where(F.col("rating") > 0), "rated_split")
     fitted = models.fit_trees(rated.where(F.col("split") == "train"))
     users, books = features.distinct_user_features(d.features), tables.stage(features.distinct_book_features(d.features), "book_features")
-    read = recommend.reads(d.raw.interactions)
-    requested = users.select(F.col("user_id_clean").alias("user_id")).where(F.substring("user_id", 2, 20).cast("bigint") % 50 == 0)
-    pairs = recommend.requested_pairs(requested, books, read).withColumnRenamed("user_id", "user_id_clean")
-    rows = features.scoring_features(pairs, users, books)
-    missing = [c for c in features.model_inputs(rated.columns) if c not in rows.columns]
-    scored = models.score_trees(rows.withColumns({c: F.lit(None).cast(dict(rated.dtypes)[c]) for c in missing}), fitted).select("user_id_clean", "book_id", "predicted_rating")
-    top = tables.stage(top_per_key(scored, ["user_id_clean"], [F.desc("predicted_rating"), F.col("book_id")], 50), "ranked")
-    known = top.join(read, (top["user_id_clean"] == read["user_id"]) & (top["book_id"] == read["book_id"]), "left_semi")
-    ahead = F.lag("predicted_rating").over(Window.partitionBy("user_id_clean").orderBy("rank"))
-    lists = top.withColumn("_ok", F.coalesce(ahead >= F.col("predicted_rating"), F.lit(True))).agg(
-        F.count_distinct("user_id_clean").alias("users"), (F.max("rank") <= 50).alias("at_most_50"), F.bool_and("_ok").alias("ranks_follow_scores"))
-    return lists.crossJoin(F.broadcast(scored.agg(F.count(F.lit(1)).alias("scored_pairs")))).crossJoin(F.broadcast(known.agg(F.count(F.lit(1)).alias("read_books"))))
+    requested = users.where(F.substring("user_id_clean", 2, 20).cast("bigint") % 20 == 0)
+    return tables.stage(ensemble.top_unread(fitted, rated, tables.stage(requested, "requested"), books, recommend.reads(d.raw.interactions)), "tree_lists")
+
+
+@on_tables("m9_tree_recommendations")
+def tree_recommendations(d):
+    """The scores of trees have no SQL form; the tests compare the lists with the scores of all pairs, and ``m9_tree_list_facts`` states what SQL can."""
+    return _tree_lists(d)
+
+
+@on_tables("m9_tree_list_facts", f"""
+SELECT user_id, least(count(*), 50) AS listed, CAST(0 AS BIGINT) AS read_books, TRUE AS ranks_follow_scores FROM {REQUESTED} GROUP BY 1""")
+def tree_list_facts(d):
+    """Per user: as many books as can be, none of them read, in the order of their scores, ties by id."""
+    top = _tree_lists(d)
+    read = recommend.reads(d.raw.interactions).withColumn("_read", F.lit(1))
+    before = Window.partitionBy("user_id").orderBy("rank")
+    ahead, id_ahead = F.lag("predicted_rating").over(before), F.lag("book_id").over(before)
+    in_order = ahead.isNull() | (ahead > F.col("predicted_rating")) | ((ahead == F.col("predicted_rating")) & (id_ahead < F.col("book_id")))
+    rows = top.withColumn("_ok", in_order).join(read, ["user_id", "book_id"], "left")
+    return rows.groupBy("user_id").agg(F.count_distinct("book_id").alias("listed"), F.count("_read").alias("read_books"), (F.bool_and("_ok") & (F.max("rank") == F.count(F.lit(1)))).alias("ranks_follow_scores"))
+
+
+@on_tables("m9_tree_featured_lists")
+def tree_featured_lists(d):
+    """The lists with titles, authors and book features, one edition each."""
+    names = recommend.author_names(recommend.author_links(d.raw.books), d.raw.authors)
+    books = features.distinct_book_features(d.features).select("book_id", F.col("title_clean").alias("title"), F.col("average_rating").alias("rating"), "ratings_count", "num_pages", "publication_year",
+                                                              "book_popularity_normalized", "book_length_category", "book_era")
+    rows = _tree_lists(d).join(books, "book_id").join(names, "book_id", "left").withColumn("author_names", F.coalesce("author_names", F.lit(recommend.NO_AUTHOR)))
+    return recommend.one_edition(rows)
 
 
 @on_tables("m9_featured_recommendations", f"""

@@ -60,11 +60,10 @@ def unread_candidates(d):
 
 @on_tables("j5_unread_pairs", """
 SELECT u.user_id, b.book_id FROM users u CROSS JOIN (SELECT DISTINCT book_id FROM cl_books) b
-WHERE CAST(u.user_id[2:] AS BIGINT) % 50 = 0 AND NOT EXISTS (SELECT 1 FROM read_pairs r WHERE r.user_id = u.user_id AND r.book_id = b.book_id)""")
+WHERE CAST(u.user_id[2:] AS BIGINT) % 20 = 0 AND NOT EXISTS (SELECT 1 FROM read_pairs r WHERE r.user_id = u.user_id AND r.book_id = b.book_id)""")
 def unread_pairs(d):
-    """The unread pairs of a request: every fiftieth user asks for recommendations."""
-    users = d.raw.interactions.select("user_id").distinct()
-    requested = users.where(F.substring("user_id", 2, 20).cast("bigint") % 50 == 0)
+    """The unread pairs of a request: the users whose number is divisible by 20, with every book."""
+    requested = recommend.asking(d.raw.interactions.select("user_id").distinct())
     return recommend.requested_pairs(requested, d.books, recommend.reads(d.raw.interactions))
 
 

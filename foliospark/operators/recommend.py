@@ -53,6 +53,11 @@ def reads(interactions: DataFrame) -> DataFrame:
     return interactions.where("is_read").select("user_id", "book_id").distinct()
 
 
+def asking(users: DataFrame, every: int = 20) -> DataFrame:
+    """The users of the stated request: those whose number is divisible by ``every``."""
+    return users.where(F.substring("user_id", 2, 20).cast("bigint") % every == 0)
+
+
 def unread_counts(users: DataFrame, items: DataFrame, read: DataFrame) -> DataFrame:
     """How many candidates each user has: all items less those read. No pair is formed."""
     known = read.join(items.select("book_id"), "book_id", "left_semi").groupBy("user_id").agg(F.count(F.lit(1)).alias("_read"))
