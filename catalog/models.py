@@ -113,14 +113,32 @@ def scored_sample(d):
     return scoring.score(sample, model).select("user_id_clean", "book_id", "rating", "predicted_rating")
 
 
+def _factor_lists(d):
+    fitted = models.fit_factors(tables.stage(_ratings(d), "ratings"))
+    return tables.stage(models.factor_recommendations(fitted, recommend.reads(d.raw.interactions)), "ranked")
+
+
 @on_tables("m8_factor_recommendations")
 def factor_recommendations(d):
     """Top unread books of every user under the factor model, with titles and authors, one edition each."""
-    fitted = models.fit_factors(tables.stage(_ratings(d), "ratings"))
-    top = tables.stage(models.factor_recommendations(fitted, recommend.reads(d.raw.interactions)), "ranked")
     names = recommend.author_names(recommend.author_links(d.raw.books), d.raw.authors)
     stats = d.features.select("book_id", "average_rating").distinct()
-    return recommend.one_edition(recommend.with_details(top, recommend.book_titles(d.raw.books), names, stats))
+    return recommend.one_edition(recommend.with_details(_factor_lists(d).drop("compared"), recommend.book_titles(d.raw.books), names, stats))
+
+
+@on_tables("m8_factor_list_facts", """
+SELECT user_id, least(count(*), 50) AS listed, CAST(0 AS BIGINT) AS read_books, TRUE AS ranks_follow_scores, (SELECT count(DISTINCT book_id) FROM feats WHERE rating > 0) AS books, TRUE AS compared_at_most_all
+FROM (SELECT u.user_id_clean AS user_id, b.book_id FROM (SELECT DISTINCT user_id_clean FROM feats WHERE rating > 0) u CROSS JOIN (SELECT DISTINCT book_id FROM feats WHERE rating > 0) b
+  WHERE NOT EXISTS (SELECT 1 FROM read_pairs r WHERE r.user_id = u.user_id_clean AND r.book_id = b.book_id)) GROUP BY 1""")
+def factor_list_facts(d):
+    """Per user: as many books as can be, none of them read, in the order of their scores, and compared with no more books than there are."""
+    books = _ratings(d).agg(F.count_distinct("book_id").alias("books"))
+    read = recommend.reads(d.raw.interactions).withColumn("_read", F.lit(1))
+    ahead = F.lag("predicted_rating").over(Window.partitionBy("user_id").orderBy("rank"))
+    rows = _factor_lists(d).withColumn("_ok", F.coalesce(ahead >= F.col("predicted_rating"), F.lit(True))).join(read, ["user_id", "book_id"], "left")
+    lists = rows.groupBy("user_id").agg(F.count_distinct("book_id").alias("listed"), F.count("_read").alias("read_books"),
+                                        (F.bool_and("_ok") & (F.max("rank") == F.count(F.lit(1)))).alias("ranks_follow_scores"), F.max("compared").alias("_compared"))
+    return lists.crossJoin(F.broadcast(books)).select("user_id", "listed", "read_books", "ranks_follow_scores", "books", (F.col("_compared") <= F.col("books")).alias("compared_at_most_all"))
 
 
 @on_tables("m8_mean_recommendations", f"""
