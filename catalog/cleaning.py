@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from catalog.registry import on_tables, query
 from foliospark.functions.text import clean_text, display_rating
-from foliospark.operators import cleaning, features, recommend
+from foliospark.operators import cleaning, features, recommend, search
+from foliospark.session import work_folder
 from foliospark.sources import adapters, files
 from foliospark.settings import NOT_MODEL_INPUT
 
@@ -125,17 +126,38 @@ def _catalogue(d):
         "book_id", "title", F.coalesce("author", F.lit("Unknown")).alias("author"))
 
 
+def _indexed_search(d, needle):
+    spark = d.raw.books.sparkSession
+    path = f"{work_folder(spark)}/search"
+    search.build(_catalogue(d), path)
+    return search.search(spark, path, needle)
+
+
+@on_tables("c16_search_short_needle", """
+SELECT b.book_id, b.title, coalesce(a.author, 'Unknown') AS author FROM fx_books b LEFT JOIN one_author a USING (book_id)
+WHERE contains(lower(b.title), 'z') OR contains(lower(coalesce(a.author, 'Unknown')), 'z') ORDER BY b.book_id LIMIT 20""")
+def search_short(d):
+    return _indexed_search(d, "Z")
+
+
+@on_tables("c16_search_phrase", """
+SELECT b.book_id, b.title, coalesce(a.author, 'Unknown') AS author FROM fx_books b LEFT JOIN one_author a USING (book_id)
+WHERE contains(lower(b.title), 'ed wid') OR contains(lower(coalesce(a.author, 'Unknown')), 'ed wid') ORDER BY b.book_id LIMIT 20""")
+def search_phrase(d):
+    return _indexed_search(d, "ed Wid")
+
+
 @on_tables("c16_search_books", """
 SELECT b.book_id, b.title, coalesce(a.author, 'Unknown') AS author FROM fx_books b LEFT JOIN one_author a USING (book_id)
 WHERE contains(lower(b.title), 'wid') OR contains(lower(coalesce(a.author, 'Unknown')), 'wid') ORDER BY b.book_id LIMIT 20""")
 def search_books(d):
-    return recommend.search(_catalogue(d), "WID")
+    return _indexed_search(d, "WID")
 
 
 @on_tables("c16_search_all_books", """
 SELECT b.book_id, b.title, coalesce(a.author, 'Unknown') AS author FROM fx_books b LEFT JOIN one_author a USING (book_id) ORDER BY b.book_id LIMIT 10""")
 def search_everything(d):
-    return recommend.search(_catalogue(d), "")
+    return _indexed_search(d, "")
 
 
 @on_tables("c17_display_rating", """
