@@ -35,6 +35,9 @@ PAIR = ((32, 1), (32, 0))  # (bits, radius) of each segment: exact for 2 bits of
 CORPUS_SHINGLE, ALIKE = 5, (4, 5)
 ORDER_SHARE, FREQUENT = 8, 100_000  # one text in so many sets the order of shingles; so many are told apart
 NEXT = 4  # neighbours compared in the first pass
+MARKS = 4  # min-hashes along which near copies are chained first
+BITS = 16  # words of 64 bits in which a set's shingles are marked
+CHAIN = 50_000  # members of an entry that one task orders
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -232,6 +235,8 @@ def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 out.append(shared * of >= common * (len(x) + len(y) - shared))
             yield pd.Series(out, dtype=bool)
 
+    ends, n = written(pairs.select(F.explode(F.array("a", "b")).alias("_node")).distinct(), "ends")
+    texts = texts.join(small(ends, n), F.col("node") == F.col("_node"), "left_semi")
     a, b = texts.select(F.col("node").alias("a"), F.col("_text").alias("text_a")), texts.select(F.col("node").alias("b"), F.col("_text").alias("text_b"))
     return pairs.join(a, "a").join(b, "b").where(verify("text_a", "text_b")).select("a", "b")
 
@@ -243,33 +248,91 @@ def _possible(a: Column, b: Column) -> Column:
     return most * (common + of) >= (a["n"] + b["n"]) * common
 
 
+def marks(own: np.ndarray) -> np.ndarray:
+    """A few min-hashes of a set, each one's lane in its lowest bits: sets that are alike share most of them."""
+    return np.array([int(_mix(own, lane).min()) & ~7 | lane for lane in range(1, MARKS + 1)], dtype=np.uint64)
+
+
+def bits(own: np.ndarray) -> np.ndarray:
+    """A bitmap with a bit for every shingle of a set."""
+    out = np.zeros(64 * BITS, dtype=np.uint8)
+    out[(own >> np.uint64(40)) % np.uint64(64 * BITS)] = 1
+    return np.packbits(out, bitorder="little").view(np.uint64)
+
+
+def _overlapping() -> Column:
+    """Whether the bitmaps of m and o leave room for enough in common: a bit that only one has stands for at least one shingle that only it has."""
+    common, of = ALIKE
+    only = lambda x, y: reduce(operator.add, [F.bit_count(F.col(f"{x}{i}").bitwiseAND(F.bitwise_not(F.col(f"{y}{i}")))) for i in range(BITS)])
+    most = F.least(F.col("m.n") - only("_bits", "_bits_o"), F.col("o.n") - only("_bits_o", "_bits"))
+    return most * (common + of) >= (F.col("m.n") + F.col("o.n")) * common
+
+
+def _chained(members: DataFrame, order: Column) -> DataFrame:
+    """(m, root, o, root_o): every member of an entry with the next one in order. Members of a large entry are dealt to several chains, whose heads form one more."""
+    hot, n_hot = written(members.groupBy("entry").agg(F.ceil(F.count(F.lit(1)) / CHAIN).alias("_chains")).where(F.col("_chains") > 1), "hot")
+    chain = F.lit(0)
+    if n_hot:
+        members = members.join(small(hot, n_hot), "entry", "left")
+        chain = F.pmod(F.xxhash64("m.node"), F.coalesce("_chains", F.lit(1)))
+    inside = Window.partitionBy("entry", "_chain").orderBy(order)
+    following = lambda w: [F.lead("m").over(w).alias("o"), F.lead("root").over(w).alias("root_o")]
+    own = members.withColumn("_chain", chain).select("entry", "_chain", "m", "root", *following(inside), F.row_number().over(inside).alias("_at"))
+    pairs = own.select("m", "root", "o", "root_o")
+    if n_hot:
+        heads = own.where(F.col("_at") == 1).join(small(hot, n_hot), "entry", "left_semi")
+        pairs = pairs.unionByName(heads.select("m", "root", *following(Window.partitionBy("entry").orderBy("_chain"))))
+    return pairs.where(F.col("o").isNotNull())
+
+
+def _rooted(members: DataFrame, edges: DataFrame, texts: DataFrame) -> DataFrame:
+    """The members with the root of their component."""
+    roots, n = written(components(edges, texts).select(F.col("node").alias("_node"), F.col("root").alias("_root")), "roots")
+    return members.drop("root").join(small(roots, n), F.col("m.node") == F.col("_node"), "left").select("entry", "m", F.coalesce("_root", "m.node").alias("root"))
+
+
 def set_links(texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of ``texts`` (node, doc, _digest, _text) that are alike: enough of them to give the components of all such pairs."""
+    """Pairs (a, b) of ``texts`` (node, doc, _digest, _text) that are alike: enough of them to give the components of all such pairs.
+
+    Texts are first chained along shared min-hashes, which joins nearly all of a group of near copies by links in proportion to its size. Then the prefix filter takes over, only for
+    entries that hold several components: first texts that are neighbours in some order are compared, then all that are still apart. What is in one component is never compared again.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts))
 
-    @F.pandas_udf("n int, head array<bigint>")
+    @F.pandas_udf("n int, head array<bigint>, marks array<bigint>, bits array<bigint>")
     def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_set(t) for t in batch]
-            yield pd.DataFrame({"n": [len(x) for x in sets], "head": [prefix(x, *shared.value).view(np.int64) for x in sets]})
+            yield pd.DataFrame({"n": [len(x) for x in sets], "head": [prefix(x, *shared.value).view(np.int64) for x in sets], "marks": [marks(x).view(np.int64) for x in sets],
+                                "bits": [bits(x).view(np.int64) for x in sets]})
 
-    heads, _ = written(texts.select("node", compute("_text").alias("_p")).select("node", "_p.n", "_p.head"), "heads")
-    members = heads.select("node", "n", F.posexplode("head").alias("at", "entry")).select("entry", F.struct("n", "node", "at").alias("m"))
-    inside = Window.partitionBy("entry").orderBy("m")
-    seen = members.select("m", "entry", *[F.lead("m", i).over(inside).alias(f"_n{i}") for i in range(1, NEXT + 1)], F.row_number().over(inside).alias("_at"))
-    seen, _ = written(seen.where(F.col("_n1").isNotNull() | (F.col("_at") == NEXT + 2)), "entries")
-    pairs = seen.select("m", F.explode(F.array_compact(F.array(*[f"_n{i}" for i in range(1, NEXT + 1)]))).alias("o")).where(_possible(F.col("m"), F.col("o")))
+    heads, _ = written(texts.select("node", compute("_text").alias("_p")).select("node", "_p.*"), "heads")
     ends = F.least("m.node", "o.node").alias("a"), F.greatest("m.node", "o.node").alias("b")
-    close, _ = written(_alike(pairs.select(*ends).distinct(), texts), "close")
-    larger, n_larger = written(seen.where(F.col("_at") == NEXT + 2).select("entry").distinct(), "larger")
-    if not n_larger:
+    m = lambda at: F.struct("n", "node", at.alias("at"))
+    marked = heads.select(F.explode("marks").alias("entry"), m(F.lit(0)).alias("m"), F.col("node").alias("root"))
+    sizes = (F.least("m.n", "o.n") * ALIKE[1] >= F.greatest("m.n", "o.n") * ALIKE[0])
+    near, _ = written(_chained(marked, F.col("m")).where(sizes).select(*ends).distinct(), "near")
+    close, _ = written(_alike(near, texts), "close")
+
+    members = heads.select("n", "node", F.posexplode("head").alias("at", "entry")).select("entry", m(F.col("at")).alias("m"))
+    members = _rooted(members, close, texts)
+    mixed, n_mixed = written(members.groupBy("entry").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where(F.col("_low") < F.col("_high")).select("entry"), "mixed")
+    inner, n_inner = written(members.join(small(mixed, n_mixed), "entry", "left_semi"), "inner")
+    if not n_inner:
         return close
-    roots = components(close, texts).select("node", F.col("root").alias("_root"))
-    inner = members.join(small(larger, n_larger), "entry").withColumn("node", F.col("m.node")).join(roots, "node", "left")
-    inner, _ = written(inner.select("entry", "m", F.coalesce("_root", "node").alias("root")), "inner")
-    other = inner.select(F.col("entry").alias("entry_o"), F.col("m").alias("o"), F.col("root").alias("root_o"))
-    apart = (F.col("entry") == F.col("entry_o")) & (F.col("m.node") < F.col("o.node")) & (F.col("root") != F.col("root_o")) & _possible(F.col("m"), F.col("o"))
-    rest, _ = written(_alike(inner.join(other, apart).select(*ends).distinct(), texts), "rest")
+    apart = (F.col("root") != F.col("root_o")) & _possible(F.col("m"), F.col("o"))
+    tried = _chained(inner, F.xxhash64("entry", "m.node")).where(apart).select(*ends).distinct()
+    tried, _ = written(tried, "tried")
+    joined, n_joined = written(_alike(tried, texts), "joined")
+    if n_joined:
+        close = close.unionByName(joined)
+        inner, _ = written(_rooted(inner, close, texts), "inner")
+    maps = heads.select(F.col("node").alias("_node"), *[F.get("bits", F.lit(i)).alias(f"_bits{i}") for i in range(BITS)])
+    inner = inner.join(maps, F.col("m.node") == F.col("_node")).drop("_node")
+    other = inner.select(F.col("entry").alias("entry_o"), F.col("m").alias("o"), F.col("root").alias("root_o"), *[F.col(f"_bits{i}").alias(f"_bits_o{i}") for i in range(BITS)])
+    rest = inner.join(other, (F.col("entry") == F.col("entry_o")) & (F.col("m.node") < F.col("o.node")) & apart & _overlapping())
+    rest, _ = written(rest.select(*ends).distinct().join(tried, ["a", "b"], "left_anti"), "apart")
+    rest, _ = written(_alike(rest, texts), "rest")
     return close.unionByName(rest)
 
 
