@@ -1,10 +1,13 @@
 """Event ETL, request logs and log parsing."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from catalog.registry import on_tables, query
 from foliospark.functions.text import masked_path
-from foliospark.operators import etl, logs, monitoring, requests
+from foliospark.operators import etl, logs, monitoring, requests, sketches
+from foliospark.session import work_folder
 from foliospark.sources import adapters
 
 _PRIORITY = "CASE event_type WHEN 'like' THEN 3 WHEN 'add_to_list' THEN 2 WHEN 'click' THEN 1 ELSE 0 END"
@@ -69,6 +72,44 @@ def request_summary(spark, sf_dir):
     return requests.request_summary(adapters.requests(spark, sf_dir))
 
 
+MARKS = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+
+
+def _stored_sketches(spark, sf_dir):
+    """Day sketches of latencies and paths per endpoint, and the rows they were made from."""
+    rows = requests.with_endpoint(adapters.requests(spark, sf_dir))
+    path = f"{work_folder(spark)}/latency_sketches"
+    sketches.add_days(sketches.of_days(rows, ["endpoint"], F.col("latency_ms"), F.col("path"), F.to_date("ts")), path)
+    return rows, path
+
+
+@query("t5_endpoint_sketches", """
+SELECT endpoint, count(*) AS request_count, r4(min(latency_ms)) AS min_latency_ms, r4(max(latency_ms)) AS max_latency_ms, TRUE AS p50_within, TRUE AS p95_within, TRUE AS p99_within, TRUE AS paths_within
+FROM fx_requests GROUP BY 1""")
+def endpoint_sketches(spark, sf_dir):
+    """Latency quantiles per endpoint from merged day sketches, held against the ranks in the rows."""
+    rows, path = _stored_sketches(spark, sf_dir)
+    found = sketches.merged(spark.read.parquet(path), ["endpoint"], MARKS)
+    true = rows.groupBy("endpoint").agg(F.count_distinct("path").alias("_paths"))
+    checks = sketches.within_rank(rows, ["endpoint"], F.col("latency_ms"), found.select("endpoint", *MARKS), MARKS)
+    return found.join(checks, "endpoint").join(true, "endpoint").select(
+        "endpoint", F.col("n").alias("request_count"), F.col("low").alias("min_latency_ms"), F.col("high").alias("max_latency_ms"), *[f"{m}_within" for m in MARKS],
+        (F.abs(F.col("members") - F.col("_paths")) <= 0.1 * F.col("_paths")).alias("paths_within"))
+
+
+@query("t6_summary_from_sketches", """
+SELECT count(*) AS total_requests, r4(avg(latency_ms)) AS avg_latency_ms, TRUE AS p50_within, TRUE AS p95_within, TRUE AS p99_within FROM fx_requests
+WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""")
+def summary_from_sketches(spark, sf_dir):
+    """Eleven days out of the stored sketches."""
+    rows, path = _stored_sketches(spark, sf_dir)
+    first, last = dt.date(2024, 1, 10), dt.date(2024, 1, 20)
+    found = sketches.merged(sketches.read_range(spark, path, first, last), [], MARKS)
+    some = rows.where(F.to_date("ts").between(F.lit(first), F.lit(last)))
+    checks = sketches.within_rank(some, [], F.col("latency_ms"), found.select(*MARKS), MARKS)
+    return found.select(F.col("n").alias("total_requests"), F.col("mean").alias("avg_latency_ms")).crossJoin(F.broadcast(checks))
+
+
 @query("t6_endpoints_by_traffic", "SELECT endpoint, count(*) AS request_count FROM fx_requests GROUP BY 1 ORDER BY 2 DESC, 1")
 def by_traffic(spark, sf_dir):
     return requests.endpoints_by_traffic(requests.endpoint_stats(adapters.requests(spark, sf_dir))).select("endpoint", "request_count")

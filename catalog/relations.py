@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from catalog.registry import on_tables, query
-from foliospark.operators import cleaning, etl, features, monitoring, recommend, relational, scoring
+from foliospark.operators import cleaning, etl, features, monitoring, recommend, relational, scoring, sketches
 from foliospark.operators.bias import high_risk, slice_metrics, top_risks
 from foliospark.operators.mitigation import group_metrics, grouped_means, reweight, shrink, weight_stats
 from foliospark.operators.ordered import top_per_key
+from foliospark.settings import GREAT_QUANTILE
 from foliospark.sources import adapters, tables
 
 
@@ -182,6 +183,16 @@ def quantile_approximate(d):
     return features.rating_threshold(_books0(d), exact=False)
 
 
+@on_tables("a4_rating_quantile_sketch", "SELECT count(adjusted_average_rating) AS books, TRUE AS threshold_within FROM books0")
+def quantile_sketch(d):
+    """The same threshold from sketches of parts of the books, held against the ranks in the rows."""
+    mark, rating = {"threshold": GREAT_QUANTILE}, F.col("adjusted_average_rating")
+    rows = _books0(d).select("adjusted_average_rating", F.pmod(F.xxhash64("book_id"), F.lit(16)).alias("part"), "book_id")
+    found = sketches.merged(sketches.of_days(rows, ["part"], rating, F.col("book_id"), F.current_date()), [], mark)
+    checks = sketches.within_rank(rows, [], rating, found.select("threshold"), mark)
+    return found.select(F.col("n_values").alias("books")).crossJoin(F.broadcast(checks))
+
+
 @on_tables("a5_distinct_counts", "SELECT count(DISTINCT user_id) AS users, count(DISTINCT book_id) AS books, count(DISTINCT interaction_type) AS kinds FROM fx_interactions")
 def distinct_counts(d):
     return d.raw.interactions.agg(F.count_distinct("user_id").alias("users"), F.count_distinct("book_id").alias("books"), F.count_distinct("interaction_type").alias("kinds"))
