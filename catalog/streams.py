@@ -8,7 +8,7 @@ from foliospark.functions.dates import activity_text
 from foliospark.operators.quality import split_events
 from foliospark.session import work_folder
 from foliospark.sources import adapters, tables
-from foliospark.streaming import events, logs, sinks, windows
+from foliospark.streaming import events, ledger, logs, sinks, windows
 
 _VALID = "event_type IN ('click', 'view', 'like', 'add_to_list')"
 _STREAMED = f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, TRY_CAST(book_id AS BIGINT) ORDER BY
@@ -131,3 +131,16 @@ def unique_events(spark, sf_dir):
     thrice = _events(spark, sf_dir).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(3)))).drop("_copy")
     sinks.run(events.unique_events(thrice), f"{root}/checkpoint", sinks.batch_folder(f"{root}/events"))
     return tables.read(spark, f"{root}/events").agg(F.count(F.lit(1)).alias("rows_stored"), F.count_distinct("event_id").alias("events"))
+
+
+@query("x5_unique_events_ledger", "SELECT count(*) AS rows_stored, count(DISTINCT event_id) AS events FROM fx_events")
+def unique_events_ledger(spark, sf_dir):
+    """Eight micro-batches; the last four deliver every event again, long after any watermark delay. The whole stream then runs once more from its start over the same ledger."""
+    root = work_folder(spark)
+    raw = adapters.table(spark, sf_dir, "events")
+    for _ in range(2):
+        raw.repartition(4).write.mode("append").parquet(f"{root}/incoming")
+    stream = adapters.events_of(spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/incoming"))
+    for run in ("first", "replay"):
+        sinks.run(stream, f"{root}/checkpoint-{run}", ledger.unique_sink(f"{root}/ledger", buckets=16))
+    return tables.read(spark, f"{root}/ledger/rows").agg(F.count(F.lit(1)).alias("rows_stored"), F.count_distinct("event_id").alias("events"))
