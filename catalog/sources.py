@@ -8,7 +8,7 @@ from catalog.registry import on_tables, query
 from foliospark.operators import bias, etl, monitoring, scoring
 from foliospark.plans import audit
 from foliospark.session import work_folder
-from foliospark.sources import adapters, files, histories, tables
+from foliospark.sources import adapters, buckets, files, histories, tables
 
 _NOW = adapters.EVENTS_AS_OF
 
@@ -87,7 +87,7 @@ def _marks(spark, sf_dir):
         "user_id", F.col("book_id").try_cast("bigint").alias("book_id"), F.when(n % 4 != 0, n % 6).alias("rating"), F.col("event_timestamp").alias("read_time"))
 
 
-@query("i9_upsert_reads", f"""
+_UPSERTED = f"""
 SELECT coalesce(t.user_id, s.user_id) AS user_id, coalesce(t.book_id, s.book_id) AS book_id, t.review_id,
   CASE WHEN s.user_id IS NOT NULL THEN now ELSE t.date_added END AS date_added, CASE WHEN s.user_id IS NOT NULL THEN now ELSE t.date_updated END AS date_updated,
   CASE WHEN s.user_id IS NOT NULL THEN now ELSE t.read_at END AS read_at, CASE WHEN t.user_id IS NULL THEN '' ELSE t.started_at END AS started_at,
@@ -96,7 +96,19 @@ SELECT coalesce(t.user_id, s.user_id) AS user_id, coalesce(t.book_id, s.book_id)
   CASE WHEN s.user_id IS NOT NULL THEN 'read' ELSE t.interaction_type END AS interaction_type
 FROM fx_interactions t FULL OUTER JOIN (
   SELECT user_id, book_id, coalesce(rating, 0) AS r, strftime(read_time, '%a %b %d %H:%M:%S +0000 %Y') AS now FROM {_MARKS} WHERE rn = 1) s
-ON t.user_id = s.user_id AND t.book_id = s.book_id""")
+ON t.user_id = s.user_id AND t.book_id = s.book_id"""
+
+
+@query("i9_upsert_stored", _UPSERTED)
+def upsert_stored(spark, sf_dir):
+    """The same upsert into a stored table in folders by user: only the folders of users with marks are rewritten."""
+    path = f"{work_folder(spark)}/interactions"
+    buckets.lay_out(adapters.interactions(spark, sf_dir), path, "user_id", 16)
+    buckets.change(path, _marks(spark, sf_dir), etl.upsert_reads, "user_id", 16)
+    return buckets.read(spark, path)
+
+
+@query("i9_upsert_reads", _UPSERTED)
 def upsert_reads(spark, sf_dir):
     return etl.upsert_reads(adapters.interactions(spark, sf_dir), _marks(spark, sf_dir))
 
