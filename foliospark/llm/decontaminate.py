@@ -9,7 +9,8 @@ Documents are scanned where they lie; the items are sent to every task in blocks
 
 Words are ASCII letters in lower case, digits, and anything beyond ASCII. An item of fewer than ``LEAST_WORDS`` words cannot be told from chance and is not
 looked for. Null and empty texts have no passages; a null id is reported as null; repeated rows or items are reported each. Per document and item the closest passage is given, of equal ones
-the one that ends first and is nearest to the item in length; ``n_words`` is the item's length. An empty benchmark finds nothing.
+the one that ends first and is nearest to the item in length; ``n_words`` is the item's length. An empty benchmark finds nothing, an empty table
+gives no rows. Very long texts are searched whole. ``clean`` keeps the documents' own columns, whatever their names; ``contaminated`` reads ``doc_id`` and the text only.
 """
 
 from __future__ import annotations

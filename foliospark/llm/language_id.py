@@ -9,7 +9,7 @@ Fitting takes a bounded sample: up to ``SAMPLE`` labelled rows per language, tho
 scored on its whole text. A text that is null or has no letter is ``und`` with score 0, and so is every text if there is nothing to learn from. The score is
 half of one plus the winning regression's value, cut to 0 to 1; up to a half every regression says no. A text most of whose distinct letters are in no landmark
 gets a half at most. Ties go to the first language by name. Repeated rows get
-equal answers. The added columns replace input columns of the same name.
+equal answers, very long texts are read whole, an empty table gives no rows. The added columns replace input columns of the same name.
 """
 
 from __future__ import annotations

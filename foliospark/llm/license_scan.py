@@ -4,11 +4,11 @@ A text block is a line, or three lines in a row; a template meets it when at lea
 are in it. Words are put in the order of their document frequency in the corpus, rare ones first. Of a template of size t that needs o common words, the first
 common word is among its first t - o + 1 words, so only these are in the index (prefix filter). A block needs o words of the
 templates' vocabulary (length filter), and o of them from that first common word on (positional filter). What is left is counted.
-All pairs that meet the threshold are found.
+All pairs of such a block and a template that meet the threshold are found; a notice wrapped so narrowly that no three lines hold enough of it is not.
 
 Templates are a fixed, small table (``TEMPLATES``); their index is a literal in the plan, so each document is scanned where it lies. Besides,
-three phrases are looked up word by word. Nulls are empty texts; an empty text has no words, places or labels and score 0; repeated rows are scanned each. Added columns
-replace input columns of the same name.
+three phrases are looked up word by word. Nulls are empty texts; an empty text has no words, places or labels and score 0; repeated rows are scanned each. Very long texts are
+scanned whole, in one row. An empty table gives no rows. Added columns replace input columns of the same name.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ A line is boilerplate on a host when it stands on more than ``max_ratio`` of tha
 A line is compared without the spaces, tabs and carriage returns around it. Blank lines are neither counted nor
 dropped. A line repeated on one page counts once for the page and all its copies go. Pages without a host
 form one site of their own. A null text stays null and counts as a page without lines; a text all of whose lines go becomes
-empty. Repeated rows are pages of their own. Input columns named like the added counters are replaced.
+empty. Repeated rows are pages of their own. Very long texts and lines are taken whole; an empty table gives no rows. Input
+columns named like the added counters are replaced; all others are kept.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ split on their next bit, until each fits. A shard is named by its bits, so rows
 
 The hash is the MD5 of the key columns, all columns unless some are named. Rows that no bit can part are handled apart: a row
 larger than the limit is a shard of its own, and equal rows that together exceed it are dealt out in runs that fit (``<bits>.<run>``).
-Null texts and empty texts have no bytes and still get a shard. An empty table gives no rows. The columns this adds replace input
+Null texts and empty texts have no bytes and still get a shard; very long texts count with all their bytes. An empty table gives no rows. The columns this adds replace input
 columns of the same name. Equal rows are interchangeable, which needs columns that can be grouped (no maps).
 """
 

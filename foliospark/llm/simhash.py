@@ -10,7 +10,8 @@ are left, a second pass compares exactly the pairs that are not yet in one compo
 links in proportion to its size, and the components are those of all links.
 
 ``component_id`` is the smallest doc_id reachable over links, itself included; null ids count last, and a component of null ids alone has a null. Null and empty
-texts have fingerprint zero and are linked like any other. Repeated rows are kept. A table without rows gives none.
+texts have fingerprint zero and are linked like any other. Repeated rows are kept. Very long texts are hashed whole. A table without rows gives none. ``near_duplicates`` reads ``doc_id`` and the text only,
+``one_of_each`` keeps the documents' own columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ payload of the response and its headers, updated by those a 304 may change.
 
 Each revisit gets one row and an outcome: ``etag`` or ``last_modified`` (matched), ``changed`` (the validator differs), ``unverified`` (no validator),
 ``no_response`` (nothing earlier, or no URL). Only matches get a payload and merged headers. Of responses at the same time the greatest record
-id counts. A null time makes a revisit ``no_response`` and a response invisible. Repeated rows are resolved each.
+id counts. A null time makes a revisit ``no_response`` and a response invisible. Repeated rows are resolved each. Payloads
+are known by digest and size only, so their length does not matter. An empty table gives no rows. Added columns replace input columns of the same name.
 """
 
 from __future__ import annotations
