@@ -111,6 +111,15 @@ def profile_sketch(d):
     return quality.column_profile(d.raw.books, exact=False)
 
 
+@on_tables("d11_sketch_against_exact", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count, TRUE AS sketch_is_close FROM fx_books" for c, _ in _PROFILED))
+def sketch_against_exact(d):
+    """Distinct counts of the sketched profile within three standard errors of the exact ones."""
+    books = d.raw.books.select(*[c for c, _ in _PROFILED])
+    exact = quality.column_profile(books).select("column_name", F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"))
+    rough = quality.column_profile(books, exact=False).select("column_name", F.col("distinct_count").alias("_rough"))
+    return exact.join(rough, "column_name").select("column_name", "distinct_count", (F.abs(F.col("_rough") - F.col("distinct_count")) <= 0.15 * F.col("distinct_count")).alias("sketch_is_close"))
+
+
 def _hist(name, expr, bins):
     return f"""SELECT '{name}' AS measure, bin, r4(lo + (hi - lo) / {bins} * (bin - 1)) AS bin_start, count(*) AS row_count FROM (
   SELECT least(CAST(floor((v - lo) / (hi - lo) * {bins}) AS BIGINT) + 1, {bins}) AS bin, lo, hi FROM (SELECT CAST({expr} AS DOUBLE) AS v FROM fx_books)
