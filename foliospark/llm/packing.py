@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliospark.llm.common import text_or_empty, written
-from foliospark.llm.tokens import encoder
+from foliospark.llm.tokens import KNOWN_BYTES, encoder
 
 LENGTH = 2048
 END_ID = 0
@@ -32,12 +32,12 @@ BIN_BITS, GROUP_BITS = 24, 30
 PIECES = "doc_id bigint, piece int, start bigint, length int, ids_crc32 bigint"
 
 
-def pieces(docs: DataFrame, tokenizer: str, text: str = "text", length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, text: str = "text", length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False, known_bytes: int = KNOWN_BYTES) -> DataFrame:
     """One row per piece of every document, with its ids as little-endian bytes if asked for."""
     schema = PIECES + (", ids binary" if with_ids else "")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, known_bytes).encode
         end, columns = np.array([end_id], dtype="<u4").tobytes(), [c.split()[0] for c in schema.split(", ")]
         for batch in batches:
             for at in range(0, len(batch), 1000):
@@ -212,7 +212,7 @@ def pack(table: DataFrame, capacity: int = LENGTH, group_pieces: int = GROUP_PIE
         n, number = left, number + 1
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False, known_bytes: int = KNOWN_BYTES) -> DataFrame:
     """Tokenize, cut and pack; the pieces are written once, as packing reads them more than once."""
-    table, _ = written(pieces(docs, tokenizer, text, length, end_id, with_ids), "pieces")
+    table, _ = written(pieces(docs, tokenizer, text, length, end_id, with_ids, known_bytes), "pieces")
     return pack(table, length)

@@ -25,13 +25,14 @@ _PLAIN, _PLAIN_LED = re.compile(f"[{_L}]++"), re.compile(f" [{_L}]++")
 KNOWN_BYTES = 160 << 20  # of words and pieces kept per worker, the first ones; others are encoded again when they come back
 ENTRY_BYTES = 190  # of an entry besides twice its characters
 RUN_WORDS = 2_000
-CHARS_AT_ONCE = 2 << 20
+CHARS_AT_ONCE = 1 << 19
 
 
 class Encoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known_bytes: int = KNOWN_BYTES):
+        self.known_bytes = known_bytes
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -133,7 +134,7 @@ class Encoder:
         out = [bytes(data[4 * a:4 * b]) for a, b in zip(ends, ends[1:])]
         added = list(islice(reversed(self.code), len(self.code) - before))
         grown = ENTRY_BYTES * len(added) + 2 * sum(map(len, added))
-        if self.bytes + grown > KNOWN_BYTES:
+        if self.bytes + grown > self.known_bytes:
             for w in added:
                 del self.code[w]
             self.used = used
@@ -142,6 +143,6 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder of this vocabulary file."""
-    return held(("encoder", path), lambda: Encoder(path))
+def encoder(path: str, known_bytes: int = KNOWN_BYTES) -> Encoder:
+    """The worker's encoder of this vocabulary file; a smaller table of words costs time, not results."""
+    return held(("encoder", path, known_bytes), lambda: Encoder(path, known_bytes))
