@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.functions.numbers import share
+from foliospark.functions.numbers import share, steady_avg
 from foliospark.operators.ordered import running_totals
 from foliospark.settings import (
     CTR_THRESHOLD, DECAY_R2_DROP, DECAY_RMSE_PCT, DRIFT_KS_P, DRIFT_MEAN_SHIFT, DRIFT_PSI, PSI_BINS,
@@ -30,7 +30,7 @@ def metric_history(history: DataFrame, now: dt.datetime, days: int = 30, limit:
     recent = history.where(F.col("timestamp") >= F.lit(now - dt.timedelta(days=days)))
     v = "metric_value"
     return recent.groupBy(F.to_date("timestamp").alias("date"), "model_name", "metric_name").agg(
-        F.avg(v).alias("avg_value"), F.min(v).alias("min_value"), F.max(v).alias("max_value"),
+        steady_avg(F.col(v)).alias("avg_value"), F.min(v).alias("min_value"), F.max(v).alias("max_value"),
     ).orderBy(F.desc("date"), "model_name", "metric_name").limit(limit)
 
 

@@ -277,6 +277,18 @@ def test_decay(spark, rows, detected, reason):
     assert (r["decay_detected"], r["reason"]) == (detected, reason)
 
 
+def test_daily_average_does_not_depend_on_the_order(spark):
+    """Shares whose mean is 0.46875, a tie at four digits: added up as doubles some orders give 0.46874999999999994."""
+    shares, rows, rng = [1 / 3] * 9 + [2 / 3] * 9 + [0.375] * 6, [], random.Random(5)
+    for day in range(1, 26):
+        rows += [(day, "r_squared", v) for v in rng.sample(shares, len(shares))]
+    rows += [(day, "mae", v) for day in (1, 2) for v in (1e16, 1.0, -1e16)] + [(1, "rmse", math.inf), (2, "rmse", None), (3, "rmse", math.nan), (4, "rmse", -1e-30)]
+    got = monitoring.metric_history(history(spark, rows).coalesce(1), NOW).collect()
+    assert {r["avg_value"] for r in got if r["metric_name"] == "r_squared"} == {0.46875}
+    assert {r["avg_value"] for r in got if r["metric_name"] == "mae"} == {1 / 3}
+    assert [str(r["avg_value"]) for r in got if r["metric_name"] == "rmse"] == ["inf", "None", "nan", "-1e-30"]
+
+
 @pytest.mark.parametrize("views,clicks,status", [(100, 1, "decay"), (10, 5, "healthy"), (10, 0, "no_data"), (0, 3, "no_data")])
 def test_click_through_status(spark, views, clicks, status):
     rows = [("u", "view", NOW)] * views + [("u", "click", NOW)] * clicks + [("old", "click", NOW - dt.timedelta(days=3))]
