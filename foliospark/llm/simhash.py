@@ -42,6 +42,7 @@ ORDER_SHARE, FREQUENT = 8, 100_000  # one text in so many sets the order of shin
 NEXT = 4  # neighbours compared in the first pass
 BITS = 16  # words of 64 bits in which a set's shingles are marked
 CHAIN = 50_000  # members of an entry that one task orders
+LANES = 16  # orders of the entries; a pair that meets in several of them is given at the first entry of an order where that is the same
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -321,14 +322,48 @@ def _first(members: DataFrame) -> DataFrame:
     return members.join(small(kept, n), "entry", "left_semi")
 
 
-def set_links(texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of ``texts`` (node, doc, _digest, _text) that are alike: enough of them to give the components of all such pairs.
+def _turned(lane: int) -> Column:
+    """The entry in another order: turning bits keeps entries apart."""
+    mask = lane * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+    return F.col("entry").bitwiseXOR(F.lit(mask - (mask >> 63 << 64)))
+
+
+def _comparable(members: DataFrame, maps: DataFrame) -> DataFrame:
+    """The members with their bitmaps and the first of their entries in each order."""
+    first = members.groupBy(F.col("m.node").alias("_node")).agg(*[F.min(_turned(i)).alias(f"_first{i}") for i in range(LANES)])
+    ends, _ = written(maps.drop("n").join(first, "_node"), "firsts")
+    return members.join(ends, F.col("m.node") == F.col("_node")).drop("_node")
+
+
+def _here() -> Column:
+    """Whether this entry is the one where the two texts are given: the first of both in the first order where they agree, else every entry."""
+    out = F.lit(True)
+    for i in reversed(range(LANES)):
+        out = F.when(F.col(f"_first{i}") == F.col(f"_first_o{i}"), _turned(i) == F.col(f"_first{i}")).otherwise(out)
+    return out
+
+
+def _apart(m: Column, o: Column) -> Column:
+    """Whether two members of an entry are in different components and long enough for it."""
+    return (F.col("root") != F.col("root_o")) & _possible(m, o)
+
+
+def _meeting(members: DataFrame, maps: DataFrame) -> DataFrame:
+    """(m, o) that meet in an entry, are still apart and may be alike. What meets in many entries is given few times, most pairs once."""
+    inner = _comparable(members, maps)
+    other = inner.select(F.col("entry").alias("entry_o"), F.col("m").alias("o"), F.col("root").alias("root_o"), *[F.col(f"{x}{i}").alias(f"{x}_o{i}") for x, k in (("_bits", BITS), ("_first", LANES)) for i in range(k)])
+    return inner.join(other, (F.col("entry") == F.col("entry_o")) & (F.col("m.node") < F.col("o.node")) & _apart(F.col("m"), F.col("o")) & _here() & _overlapping()).select("m", "o")
+
+
+def set_links(texts: DataFrame, copies: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of ``texts`` (node, doc, _digest, _text) that are alike: enough of them to give the components of all such pairs. The nodes in ``copies`` (_node) take no part.
 
     SimHash comes first: 256-bit fingerprints of the shingle sets are filed under their 16-bit segments, neighbours in an entry that differ in at most ``SET_BITS`` are compared exactly,
     so a group of near copies is joined by links in proportion to its size. Alike texts whose fingerprints never are neighbours are left for a prefix filter, which loses none: it takes entries that hold several
     components, and texts that have enough of them; first neighbours in some order are compared, then all that are still apart. What is in one component is never compared again.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts))
+    own = texts if copies is None else texts.join(copies, F.col("node") == F.col("_node"), "left_anti")
+    shared = texts.sparkSession.sparkContext.broadcast(frequent_shingles(own))
 
     @F.pandas_udf("n int, head array<bigint>, fp array<bigint>, bits array<bigint>")
     def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -337,7 +372,7 @@ def set_links(texts: DataFrame) -> DataFrame:
             yield pd.DataFrame({"n": [len(x) for x in sets], "head": [prefix(x, *shared.value).view(np.int64) for x in sets], "fp": [fingerprint_of(x, SET_WIDTH) for x in sets],
                                 "bits": [bits(x).view(np.int64) for x in sets]})
 
-    heads, _ = written(texts.select("node", compute("_text").alias("_p")).select("node", "_p.*"), "heads")
+    heads, _ = written(own.select("node", compute("_text").alias("_p")).select("node", "_p.*"), "heads")
     maps = heads.select(F.col("node").alias("_node"), "n", *[F.get("bits", F.lit(i)).alias(f"_bits{i}") for i in range(BITS)])
     ends = F.least("m.node", "o.node").alias("a"), F.greatest("m.node", "o.node").alias("b")
     sizes = F.least("m.n", "o.n") * ALIKE[1] >= F.greatest("m.n", "o.n") * ALIKE[0]
@@ -357,15 +392,12 @@ def set_links(texts: DataFrame) -> DataFrame:
 
     members = heads.select("n", "node", F.posexplode("head").alias("at", "entry")).select("entry", F.struct("n", "node", "at").alias("m"))
     inner = _mixed(_rooted(members, close, texts))
-    apart = (F.col("root") != F.col("root_o")) & _possible(F.col("m"), F.col("o"))
-    tried, _ = written(_chained(inner, F.xxhash64("entry", "m.node")).where(apart).select(*ends).distinct(), "tried")
+    tried, _ = written(_chained(inner, F.xxhash64("entry", "m.node")).where(_apart(F.col("m"), F.col("o"))).select(*ends).distinct(), "tried")
     joined, n_joined = written(_alike(tried, texts, maps), "joined")
     if n_joined:
         close, _ = written(close.unionByName(joined), "close")
         inner = _mixed(_rooted(inner, close, texts))
-    inner = _first(inner).join(maps.drop("n"), F.col("m.node") == F.col("_node")).drop("_node")
-    other = inner.select(F.col("entry").alias("entry_o"), F.col("m").alias("o"), F.col("root").alias("root_o"), *[F.col(f"_bits{i}").alias(f"_bits_o{i}") for i in range(BITS)])
-    rest = inner.join(other, (F.col("entry") == F.col("entry_o")) & (F.col("m.node") < F.col("o.node")) & apart & _overlapping())
+    rest = _meeting(_first(inner), maps)
     rest, _ = written(rest.select(*ends).distinct().join(tried, ["a", "b"], "left_anti"), "apart")
     rest, _ = written(_alike(rest, texts, maps), "rest")
     return close.unionByName(rest)
@@ -375,17 +407,18 @@ def set_links(texts: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents without near copies: of every component the row with the smallest doc_id stays, with its columns.
 
-    Equal texts are reduced to one row first, each task to its own first rows before the shuffle. Distinct texts are linked where the exact Jaccard similarity
+    Of equal texts all rows but one are set aside first, by their numbers: the texts are not shuffled for it. Distinct texts are linked where the exact Jaccard similarity
     of their sets of five-word shingles is ``ALIKE`` or more; all such pairs are covered.
     """
     digest = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     columns = docs.columns
-    first = Window.partitionBy("_digest").orderBy(F.col("doc_id").asc_nulls_last())
-    single = docs.withColumn("_digest", digest).withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") == 1).drop("_rank")
     # The numbers hold once the table is written.
-    single, _ = written(single.withColumn("_node", F.monotonically_increasing_id()), "single")
+    numbered, _ = written(docs.withColumn("_digest", digest).withColumn("_node", F.monotonically_increasing_id()), "numbered")
+    first = numbered.groupBy("_digest").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_node")).alias("_first")).select(F.col("_first._node").alias("_node"))
+    copies, n_copies = written(numbered.select("_node").join(first, "_node", "left_anti"), "copies")
     # Of a component the smallest doc_id stays, then the smallest digest.
     doc = F.struct(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1)).alias("id"), "_digest")
-    texts = single.select(F.col("_node").alias("node"), doc.alias("doc"), "_digest", F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
-    gone, n = written(components(set_links(texts), texts).where(F.col("node") != F.col("root")).select(F.col("node").alias("_node")), "gone")
-    return single.join(small(gone, n), "_node", "left_anti").select(*[F.col(f"`{c}`") for c in columns])
+    texts = numbered.select(F.col("_node").alias("node"), doc.alias("doc"), "_digest", F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+    near = components(set_links(texts, small(copies, n_copies)), texts).where(F.col("node") != F.col("root")).select(F.col("node").alias("_node"))
+    gone, n = written(near.unionByName(copies), "gone")
+    return numbered.join(small(gone, n), "_node", "left_anti").select(*[F.col(f"`{c}`") for c in columns])

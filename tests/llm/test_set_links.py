@@ -52,3 +52,34 @@ def test_a_group_of_variants(ready_spark, monkeypatch):
     assert smallest(len(texts), links) == smallest(len(texts), alike)
     assert filed and sum(bits for bits, _ in filed[0]) == 256  # the fingerprints' tables are searched
     assert sum(compared) < 25 * len(texts) < len(texts) ** 2 / 10
+
+
+def test_pairs_that_meet_in_many_entries_are_given_few_times(ready_spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(400)]
+    # 360 common words and 40 of each text's own: every two are alike and have most of their first entries in common.
+    texts = [" ".join(base[:360] + [f"z{rng.randrange(10**9)}" for _ in range(40)]) for _ in range(60)]
+    members = [(e, (len(t.split()) - 4, node, at), node) for node, t in enumerate(texts) for at, e in enumerate(sorted(simhash.shingle_set(t).view("int64").tolist())[:90])]
+    members = ready_spark.createDataFrame(members, "entry bigint, m struct<n: int, node: bigint, at: int>, root bigint")
+    maps = ready_spark.createDataFrame([(node, len(t.split()) - 4, *simhash.bits(simhash.shingle_set(t)).view("int64").tolist()) for node, t in enumerate(texts)],
+                                       "_node bigint, n int, " + ", ".join(f"_bits{i} bigint" for i in range(simhash.BITS)))
+    given = simhash._meeting(members, maps).select("m.node", F.col("o.node").alias("other"))
+    other = members.select("entry", F.col("m").alias("o"), F.col("root").alias("root_o"))
+    every = members.join(other, "entry").where((F.col("m.node") < F.col("o.node")) & simhash._possible(F.col("m"), F.col("o"))).select("m.node", F.col("o.node").alias("other"))
+    assert given.distinct().count() == every.distinct().count() > 1_000
+    assert given.count() < 2 * given.distinct().count() < every.count() / 10
+
+
+def test_equal_texts_are_set_aside_without_a_shuffle_of_texts(ready_spark, monkeypatch):
+    plans, write = [], simhash.written
+
+    def noted(df, label):
+        if "text" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(simhash, "written", noted)
+    docs = ready_spark.createDataFrame([(3, "a b c"), (None, "a b c"), (1, "a b c"), (1, "a b c"), (2, "d e f"), (None, "g"), (None, "g")], "doc_id bigint, text string").repartition(3).localCheckpoint()
+    left = simhash.one_of_each(docs)
+    assert sorted((r["text"], r["doc_id"]) for r in left.collect()) == [("a b c", 1), ("d e f", 2), ("g", None)]
+    assert plans and not any("Exchange" in p for p in plans)
