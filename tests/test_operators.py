@@ -321,6 +321,20 @@ def test_requests_name_few_users(spark):
     assert recommend.requested_pairs(users, items, read, block=1).count() == 3  # in blocks
 
 
+def test_unread_rows_keep_every_column_and_shuffle_no_pair(spark):
+    users = spark.createDataFrame([(f"u{i}", i * 1.5) for i in range(9)] + [(None, 0.0)], "user_id string, mean double")
+    books = spark.createDataFrame([(i, f"t{i}") for i in range(40)] + [(7, "again"), (None, "no id")], "book_id bigint, title string")
+    read = spark.createDataFrame([("u1", 7), ("u1", 8), ("u2", 3), ("u2", 3), ("u3", 999), ("gone", 4), (None, 5), ("u4", None)] + [("u5", i) for i in range(40)], "user_id string, book_id bigint")
+    seen = {tuple(r) for r in read.collect() if None not in tuple(r)}
+    want = sorted((str(u[0]), u[1], str(b[0]), b[1]) for u in users.collect() for b in books.collect() if (u[0], b[0]) not in seen)
+    for block, shelf in ((8192, 2048), (2, 5)):
+        rows = recommend.unread_rows(users, books, read, block, shelf)
+        assert sorted((str(r["user_id"]), r["mean"], str(r["book_id"]), r["title"]) for r in rows.collect()) == want
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[:plan.index("CartesianProduct")] and "BroadcastNestedLoopJoin" not in plan  # above the pairs nothing is shuffled
+    assert recommend.unread_rows(users.limit(0), books, read).count() == 0 and recommend.unread_rows(users, books.limit(0), read).count() == 0
+
+
 def test_author_gender_rules(spark):
     authors = spark.createDataFrame([(1, "Ann Lee"), (2, "J. Doe"), (3, "   "), (4, None), (5, "BOB"), (6, "Zed Q")], "author_id int, name string")
     genders = spark.createDataFrame([("ann", "mostly_female"), ("bob", "male"), ("j.", "male")], "first_name string, gender string")
