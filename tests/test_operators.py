@@ -358,3 +358,12 @@ def test_search(spark):
 def test_unknown_mitigation_is_refused(spark):
     with pytest.raises(ValueError, match="magic"):
         audit.mitigate(spark.range(1), None, spark.range(0), ["magic"])
+
+
+def test_featured_lists_carry_only_their_columns(spark, derived_once):
+    """What the lists do not show is not carried through the joins and the choice of editions."""
+    from __spark_entry__ import queries
+    from tests.conftest import SF
+
+    plan = queries()["m9_featured_recommendations"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "description_length" not in plan and "book_era" in plan
